@@ -8,11 +8,13 @@ the suffix first (cheap) and evaluates its condition on the remaining stem only
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quillrank.functions.sqltext import is_one_of, map_items
+
 # A word is [C](VC){m}[V]. ``y`` is a vowel after a consonant and a consonant elsewhere, and
 # a leading consonant run is matched possessively so that an initial ``y`` cannot be a vowel.
 _C = "[^aeiou][^aeiouy]*+"
@@ -23,11 +25,6 @@ _M_GT_1 = f"{_HEAD}{_V}{_C}{_V}{_C}"
 _M_EQ_1 = f"{_HEAD}{_V}{_C}(?:{_V})?+$"
 _HAS_VOWEL = f"{_HEAD}[aeiouy]"
 _SHORT_CVC = f"^{_C}[aeiouy][^aeiouwxy]$"  # m = 1 and ends consonant-vowel-consonant
-_DOUBLE = r"([^aeiouylsz])\1$"
-
-# Marks at the end of a word while it passes through the steps; no token ends in one.
-_SHORT = "\u0001"  # one or two letters: no rule may see it
-_CUT = "\u0002"  # lost -ed or -ing: the next step repairs it
 
 # The rule tables of the published algorithm, suffix and replacement.
 _STEP_2 = (
@@ -46,110 +43,91 @@ _STEP_4 = (
     "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 )
 
+# Marks at the end of a word while it passes through the steps; no token ends in one.
+_SHORT = "\u0001"  # one or two letters: no rule may see it
+_CUT = "\u0002"  # lost -ed or -ing: the next step repairs it
 
-def _cut(word: Column, n: int) -> Column:
-    return F.substring(word, F.lit(1), F.length(word) - n)
-
-
-def _rules(
-    word: Column,
-    table: Iterable[tuple[str, str]],
-    allowed: Callable[[Column, str], Column],
-) -> Column:
-    """The longest matching suffix decides: its condition holds and the suffix is replaced,
-    or it fails and the word stays as it is."""
-    chain = F
-    for suffix, replacement in sorted(table, key=lambda rule: -len(rule[0])):
-        stem = _cut(word, len(suffix))
-        new = F.concat(stem, F.lit(replacement)) if replacement else stem
-        chain = chain.when(
-            word.endswith(suffix), F.when(allowed(stem, suffix), new).otherwise(word)
-        )
-    return chain.otherwise(word)
-
-
-def _plurals(word: Column) -> Column:
-    return (
-        F.when(F.length(word) <= 2, F.concat(word, F.lit(_SHORT)))
-        .when(word.endswith("sses") | word.endswith("ies"), _cut(word, 2))
-        .when(word.endswith("s") & ~word.endswith("ss"), _cut(word, 1))
-        .otherwise(word)
-    )
-
-
-def _past_and_ing(word: Column) -> Column:
-    def strip(n: int) -> Column:
-        stem = _cut(word, n)
-        return F.when(stem.rlike(_HAS_VOWEL), F.concat(stem, F.lit(_CUT))).otherwise(word)
-
-    return (
-        F.when(
-            word.endswith("eed"),
-            F.when(_cut(word, 3).rlike(_M_GT_0), _cut(word, 1)).otherwise(word),
-        )
-        .when(word.endswith("ed"), strip(2))
-        .when(word.endswith("ing"), strip(3))
-        .otherwise(word)
-    )
-
-
-def _repair(word: Column) -> Column:
-    stem = _cut(word, 1)
-    repaired = (
-        F.when(stem.endswith("at") | stem.endswith("bl") | stem.endswith("iz"),
-               F.concat(stem, F.lit("e")))
-        .when(stem.rlike(_DOUBLE), _cut(stem, 1))
-        .when(stem.rlike(_SHORT_CVC), F.concat(stem, F.lit("e")))
-        .otherwise(stem)
-    )
-    return F.when(word.endswith(_CUT), repaired).otherwise(word)
 
+def _cut(n: int, word: str = "x") -> str:
+    return f"left({word}, length({word}) - {n})"
 
-def _final_y(word: Column) -> Column:
-    return F.when(
-        word.endswith("y") & _cut(word, 1).rlike(_HAS_VOWEL),
-        F.concat(_cut(word, 1), F.lit("i")),
-    ).otherwise(word)
 
+def _ends(*suffixes: str, word: str = "x") -> str:
+    return "(" + " OR ".join(f"endswith({word}, '{suffix}')" for suffix in suffixes) + ")"
 
-def _step_2(word: Column) -> Column:
-    return _rules(word, _STEP_2, lambda stem, _: stem.rlike(_M_GT_0))
 
+def _like(word: str, pattern: str) -> str:
+    return f"rlike({word}, '{pattern}')"
 
-def _step_3(word: Column) -> Column:
-    return _rules(word, _STEP_3, lambda stem, _: stem.rlike(_M_GT_0))
 
+def _case(*branches: tuple[str, str], otherwise: str = "x") -> str:
+    whens = " ".join(f"WHEN {condition} THEN {value}" for condition, value in branches)
+    return f"CASE {whens} ELSE {otherwise} END"
 
-def _step_4(word: Column) -> Column:
-    def allowed(stem: Column, suffix: str) -> Column:
-        long_enough = stem.rlike(_M_GT_1)
-        if suffix == "ion":
-            return long_enough & (stem.endswith("s") | stem.endswith("t"))
-        return long_enough
 
-    return _rules(word, [(suffix, "") for suffix in _STEP_4], allowed)
+def _suffix_rule(suffix: str, replacement: str, allowed: str) -> tuple[str, str]:
+    """On the suffix: replace it where the stem allows, keep the word where not. Either way
+    no shorter suffix is tried."""
+    stem = _cut(len(suffix))
+    new = f"concat({stem}, '{replacement}')" if replacement else stem
+    return _ends(suffix), _case((allowed.format(stem=stem), new))
 
 
-def _final_e(word: Column) -> Column:
-    stem = _cut(word, 1)
-    drop = stem.rlike(_M_GT_1) | (stem.rlike(_M_EQ_1) & ~stem.rlike(_SHORT_CVC))
-    return F.when(word.endswith("e"), F.when(drop, stem).otherwise(word)).otherwise(word)
+def _longest_first(rules: Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
+    return sorted(rules, key=lambda rule: -len(rule[0]))
 
 
-def _final_ll(word: Column) -> Column:
-    shed = word.endswith(_SHORT) | (word.endswith("ll") & word.rlike(_M_GT_1))
-    return F.when(shed, _cut(word, 1)).otherwise(word)
+def _steps() -> list[str]:
+    stem, measured = "{stem}", _like("{stem}", _M_GT_0)
+    plurals = _case(
+        ("length(x) <= 2", f"concat(x, '{_SHORT}')"),
+        (_ends("sses", "ies"), _cut(2)),
+        (_ends("s") + " AND NOT " + _ends("ss"), _cut(1)),
+    )
+    past_and_ing = _case(
+        (_ends("eed"), _case((_like(_cut(3), _M_GT_0), _cut(1)))),
+        *[
+            (_ends(suffix),
+             _case((_like(_cut(len(suffix)), _HAS_VOWEL),
+                    f"concat({_cut(len(suffix))}, '{_CUT}')")))
+            for suffix in ("ed", "ing")
+        ],
+    )
+    bare = _cut(1)
+    repair = _case(
+        (f"NOT {_ends(_CUT)}", "x"),
+        (_ends("at", "bl", "iz", word=bare), f"concat({bare}, 'e')"),
+        # a double consonant other than ll, ss, zz
+        (f"substr(x, -2, 1) = substr(x, -3, 1) AND {_like(bare, '[^aeiouylsz]$')}", _cut(2)),
+        (_like(bare, _SHORT_CVC), f"concat({bare}, 'e')"),
+        otherwise=bare,
+    )
+    final_y = _case((f"{_ends('y')} AND {_like(bare, _HAS_VOWEL)}", f"concat({bare}, 'i')"))
+    step_2 = _case(*[_suffix_rule(s, r, measured) for s, r in _longest_first(_STEP_2)])
+    step_3 = _case(*[_suffix_rule(s, r, measured) for s, r in _longest_first(_STEP_3)])
+    long_stem = _like(stem, _M_GT_1)
+    step_4 = _case(*[
+        _suffix_rule(
+            suffix, "",
+            f"{long_stem} AND {_ends('s', 't', word=stem)}" if suffix == "ion" else long_stem,
+        )
+        for suffix, _ in _longest_first((suffix, "") for suffix in _STEP_4)
+    ])
+    lone = f"{_like(bare, _M_EQ_1)} AND NOT {_like(bare, _SHORT_CVC)}"
+    final_e = _case((f"{_ends('e')} AND ({_like(bare, _M_GT_1)} OR {lone})", bare))
+    final_ll = _case(
+        (f"{_ends(_SHORT)} OR ({_ends('ll')} AND {_like('x', _M_GT_1)})", bare)
+    )
+    return [plurals, past_and_ing, repair, final_y, step_2, step_3, step_4, final_e, final_ll]
 
 
-_STEPS = (
-    _plurals, _past_and_ing, _repair, _final_y, _step_2, _step_3, _step_4, _final_e, _final_ll,
-)
+_STEPS = _steps()
 
 
 def stem_words(words: Column) -> Column:
     """Stem every word of an array of lower-case words."""
     for step in _STEPS:
-        words = F.transform(words, step)
+        words = map_items(words, step)
     return words
 
 
@@ -165,14 +143,12 @@ def stem_word(word: Column) -> Column:
 _MAX_PREFIX = 4
 
 
-def may_stem_to(word: Column, stems: Iterable[str]) -> Column:
-    """Necessary condition for ``stem_word(word)`` to be one of ``stems``: the word starts
-    like one of them. Cheap, exact in one direction, and used to stem few words only."""
+def may_stem_to(stems: Iterable[str]) -> str:
+    """Condition over ``x``, necessary for the stem of ``x`` to be one of ``stems``: the word
+    starts like one of them. Cheap, and it leaves few words to stem."""
     by_length: dict[int, set[str]] = {}
     for stem in stems:
         n = min(max(len(stem) - 1, 1), _MAX_PREFIX)
         by_length.setdefault(n, set()).add(stem[:n])
-    condition = F.lit(False)
-    for n in sorted(by_length):
-        condition = condition | F.substring(word, 1, n).isin(sorted(by_length[n]))
-    return condition
+    tests = [is_one_of(f"left(x, {n})", sorted(by_length[n])) for n in sorted(by_length)]
+    return " OR ".join(tests) or "false"

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillrank.functions.porter import stem_words
+from quillrank.functions.sqltext import is_one_of, keep_items
 
 TOKEN_PATTERN = "[A-Za-z0-9]+"
 
@@ -37,9 +38,9 @@ def tokenise(text: Column, pattern: str = TOKEN_PATTERN) -> Column:
 
 
 def remove_stopwords(tokens: Column, stopwords: Iterable[str] = STOPWORDS) -> Column:
-    """The tokens that are not stopwords. ``isin`` becomes a hash lookup in Catalyst."""
+    """The tokens that are not stopwords."""
     words = list(stopwords)
-    return F.filter(tokens, lambda token: ~token.isin(words)) if words else tokens
+    return keep_items(tokens, f"NOT {is_one_of('x', words)}") if words else tokens
 
 
 def content_tokens(

@@ -44,7 +44,10 @@ def fold_window(
     """``(query_id, kept, done)`` from ranked rows ``(query_id, rank, row_id, doc_id, score,
     title)``, at most ``size`` per query, continuing from ``kept`` where given."""
     item = F.struct("row_id", "doc_id", "score", "title").cast(ITEM)
-    ranked = window.groupBy("query_id").agg(
+    # Few bytes but much work per query: the fixed number keeps adaptive execution from
+    # folding all queries in one task because their rows are small.
+    tasks = int(window.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranked = window.repartition(tasks, "query_id").groupBy("query_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", item.alias("item")))).alias("ranked")
     )
     ranked = ranked.select(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.functions.porter import may_stem_to, stem_words
+from quillrank.functions.sqltext import is_one_of, keep_items
 from quillrank.functions.text import STOPWORDS, TOKEN_PATTERN, content_tokens, count_runs
 from quillrank.schema import MAX_PARAGRAPHS, PARAGRAPH
 
@@ -73,8 +74,8 @@ def document_matches(
     if wanted is None:
         hits = stem_words(F.col("tokens"))
     elif wanted:
-        hits = stem_words(F.filter("tokens", lambda token: may_stem_to(token, wanted)))
-        hits = F.filter(hits, lambda term: term.isin(wanted))
+        hits = stem_words(keep_items(F.col("tokens"), may_stem_to(wanted)))
+        hits = keep_items(hits, is_one_of("x", wanted))
     else:
         hits = F.array().cast("array<string>")
     counted = tokens.select(
