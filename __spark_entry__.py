@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -18,11 +18,11 @@ from quillrank.functions.text import content_tokens, tokenise  # noqa: E402
 from quillrank.functions.titles import near_title, title_distance  # noqa: E402
 from quillrank.operators import documents as docs  # noqa: E402
 from quillrank.operators import matching, ranking, scoring, stats  # noqa: E402
-from quillrank.plans.rank import rank_documents  # noqa: E402
+from quillrank.plans.rank import match_documents, rank_documents  # noqa: E402
 from quillrank.sources import articles as art  # noqa: E402
 from quillrank.sources import queries as qry  # noqa: E402
 from quillrank.sources import rankings as out  # noqa: E402
-from quillrank.sources.workspace import shared_folder  # noqa: E402
+from quillrank.sources.workspace import Workspace, shared_folder  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 FLAGSHIP = ("th", "enlich enheit", "hetion estion")
@@ -50,28 +50,17 @@ def _benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _new_path(spark: SparkSession, name: str) -> str:
-    folder = shared_folder(spark)
-    if folder.startswith("/"):
-        return f"{tempfile.mkdtemp(prefix='check-', dir=_made(folder))}/{name}"
-    import uuid
-
-    return f"{folder}/check-{uuid.uuid4().hex}/{name}"
-
-
-def _made(folder: str) -> str:
-    os.makedirs(folder, exist_ok=True)
-    return folder
+    return f"{shared_folder(spark)}/check-{uuid.uuid4().hex}/{name}"
 
 
 def _matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Counted query terms per document, and the postings of the query list."""
-    parsed = qry.parse_queries(qry.distinct_queries(_query_list(spark)))
-    postings = matching.query_postings(parsed)
-    wanted = matching.wanted_terms(postings)
-    return docs.document_matches(_articles(spark, sf_dir), wanted), postings
+    """Counted query terms per document and the postings of the query list, as tables."""
+    space = Workspace(spark)
+    postings, matches = match_documents(space, _query_list(spark), _articles(spark, sf_dir))
+    return matches, postings
 
 
-def _scores(spark: SparkSession, sf_dir: str, keys=("doc_id",)) -> DataFrame:
+def _scores(spark: SparkSession, sf_dir: str, keys=("row_id", "doc_id")) -> DataFrame:
     matches, postings = _matches(spark, sf_dir)
     return scoring.document_scores(matches, stats.scoring_terms(matches, postings), keys=keys)
 
@@ -248,9 +237,11 @@ def rank_in_query(spark, sf_dir):
 
 
 def topk_before_dedup(spark, sf_dir):
-    top = ranking.top_ranked(_scores(spark, sf_dir), 10)
-    titles = _articles(spark, sf_dir).select(F.col("id").alias("doc_id"), "title")
-    return top.join(titles, "doc_id").select(
+    matches, postings = _matches(spark, sf_dir)
+    terms = stats.scoring_terms(matches, postings)
+    scores = scoring.document_scores(matches, terms, keys=("row_id", "doc_id"))
+    top = ranking.top_ranked(scores, 10).join(matches.select("row_id", "title"), "row_id")
+    return top.select(
         "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", _finite("score"), "title"
     )
 
@@ -271,7 +262,7 @@ def near_title_pairs(spark, sf_dir):
     kept = _rankings(spark, sf_dir).select(
         "query_id", F.col("doc_id").alias("kept_doc_id"), F.col("title").alias("kept_title")
     )
-    scored = _scores(spark, sf_dir, keys=("doc_id", "title"))
+    scored = _scores(spark, sf_dir, keys=("row_id", "doc_id", "title"))
     return scored.join(kept, "query_id").where(
         (F.col("doc_id") != F.col("kept_doc_id"))
         & near_title(F.col("title"), F.col("kept_title"))

@@ -31,9 +31,15 @@ def wanted_terms(postings: DataFrame, limit: int = MAX_WANTED) -> list[str] | No
 
 def document_postings(matches: DataFrame) -> DataFrame:
     """``document_matches`` with one row per document and term: every column but ``matches``,
-    then ``term, tf``."""
+    then ``term, tf``.
+
+    The plain explode would let the optimizer derive ``size(matches) > 0`` and push it below
+    the projections, where the whole text chain would run again just to be counted; the outer
+    form leaves that alone, and its null rows are dropped in the same stage.
+    """
     keep = [name for name in matches.columns if name != "matches"]
-    return matches.select(*keep, F.explode("matches").alias("m")).select(
+    exploded = matches.select(*keep, F.explode_outer("matches").alias("m"))
+    return exploded.where(F.col("m").isNotNull()).select(
         *keep, F.col("m.term").alias("term"), F.col("m.tf").alias("tf")
     )
 

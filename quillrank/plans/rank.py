@@ -32,39 +32,55 @@ def match_table_rows(matches: DataFrame) -> DataFrame:
     )
 
 
+def match_documents(
+    space: Workspace,
+    queries: DataFrame,
+    articles: DataFrame,
+    *,
+    max_paragraphs: int = MAX_PARAGRAPHS,
+    token_pattern: str = TOKEN_PATTERN,
+    stopwords: Iterable[str] = STOPWORDS,
+) -> tuple[DataFrame, DataFrame]:
+    """The one pass over the articles: ``(postings, matches)``, both as tables of ``space``.
+
+    ``postings`` is ``query_postings`` of the distinct queries, ``matches`` is
+    ``match_table_rows`` bucketed by ``row_id``.
+    """
+    stopwords = tuple(stopwords)
+    parsed = parse_queries(distinct_queries(queries), token_pattern, stopwords)
+    postings = space.table("postings", query_postings(parsed))
+    found = document_matches(
+        articles,
+        wanted_terms(postings),
+        max_paragraphs=max_paragraphs,
+        token_pattern=token_pattern,
+        stopwords=stopwords,
+    )
+    return postings, space.bucketed_table("matches", match_table_rows(found), "row_id")
+
+
 def rank_documents(
     queries: DataFrame,
     articles: DataFrame,
     *,
     k: int = TOP_K,
-    max_paragraphs: int = MAX_PARAGRAPHS,
     min_distance: float = MIN_TITLE_DISTANCE,
     cf_mode: str = "per_query",
     ratio: str = "floor",
-    token_pattern: str = TOKEN_PATTERN,
-    stopwords: Iterable[str] = STOPWORDS,
     window: int = WINDOW,
     work_dir: str | None = None,
+    **text_options,
 ) -> DataFrame:
     """``(query_id, original_query, rank, doc_id, score, title)``, at most ``k`` rows per query.
 
     ``queries`` has one ``original_query`` per row, ``articles`` the columns ``id, title,
-    contents``. The articles are read once. That pass leaves a narrow table of matches,
-    bucketed by row; statistics, scores, ranks and titles all come from it.
+    contents``; ``text_options`` are those of ``match_documents``. The articles are read once.
+    That pass leaves a narrow table of matches, bucketed by row; statistics, scores, ranks and
+    titles all come from it.
     """
-    stopwords = tuple(stopwords)
     space = Workspace(articles.sparkSession, work_dir)
     try:
-        parsed = parse_queries(distinct_queries(queries), token_pattern, stopwords)
-        postings = space.table("postings", query_postings(parsed))
-        found = document_matches(
-            articles,
-            wanted_terms(postings),
-            max_paragraphs=max_paragraphs,
-            token_pattern=token_pattern,
-            stopwords=stopwords,
-        )
-        matches = space.bucketed_table("matches", match_table_rows(found), "row_id")
+        postings, matches = match_documents(space, queries, articles, **text_options)
         terms = space.table("terms", scoring_terms(matches, postings, cf_mode))
 
         def with_titles(top: DataFrame) -> DataFrame:
