@@ -44,7 +44,10 @@ def match_documents(
     """The one pass over the articles: ``(postings, matches)``, both as tables of ``space``.
 
     ``postings`` is ``query_postings`` of the distinct queries, ``matches`` is
-    ``match_table_rows`` bucketed by ``row_id``.
+    ``match_table_rows`` bucketed by ``row_id``. The pass itself has no exchange: every task
+    commits what it found to the shared folder, so a lost executor costs its running tasks
+    only, and row ids are fixed before anything is placed by them. The bucketing then moves
+    the narrow rows once.
     """
     stopwords = tuple(stopwords)
     parsed = parse_queries(distinct_queries(queries), token_pattern, stopwords)
@@ -56,7 +59,8 @@ def match_documents(
         token_pattern=token_pattern,
         stopwords=stopwords,
     )
-    return postings, space.bucketed_table("matches", match_table_rows(found), "row_id")
+    found = space.table("found", match_table_rows(found))
+    return postings, space.bucketed_table("matches", found, "row_id")
 
 
 def rank_documents(
