@@ -56,8 +56,9 @@ def _new_path(spark: SparkSession, name: str) -> str:
 def _matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Counted query terms per document and the postings of the query list, as tables."""
     space = Workspace(spark)
-    postings, matches = match_documents(space, _query_list(spark), _articles(spark, sf_dir))
-    return matches, postings
+    parsed = qry.parse_queries(qry.distinct_queries(_query_list(spark)))
+    postings = space.table("postings", matching.query_postings(parsed))
+    return match_documents(space, postings, _articles(spark, sf_dir)), postings
 
 
 def _scores(spark: SparkSession, sf_dir: str, keys=("row_id", "doc_id")) -> DataFrame:

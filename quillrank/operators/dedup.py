@@ -46,7 +46,7 @@ def fold_window(
     item = F.struct("row_id", "doc_id", "score", "title").cast(ITEM)
     # Few bytes but much work per query: the fixed number keeps adaptive execution from
     # folding all queries in one task because their rows are small.
-    tasks = int(window.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = window.sparkSession.sparkContext.defaultParallelism
     ranked = window.repartition(tasks, "query_id").groupBy("query_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", item.alias("item")))).alias("ranked")
     )

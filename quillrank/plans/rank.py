@@ -34,33 +34,29 @@ def match_table_rows(matches: DataFrame) -> DataFrame:
 
 def match_documents(
     space: Workspace,
-    queries: DataFrame,
+    postings: DataFrame,
     articles: DataFrame,
     *,
     max_paragraphs: int = MAX_PARAGRAPHS,
     token_pattern: str = TOKEN_PATTERN,
     stopwords: Iterable[str] = STOPWORDS,
-) -> tuple[DataFrame, DataFrame]:
-    """The one pass over the articles: ``(postings, matches)``, both as tables of ``space``.
+) -> DataFrame:
+    """The one pass over the articles: ``match_table_rows`` as a table of ``space``, bucketed
+    by ``row_id``.
 
-    ``postings`` is ``query_postings`` of the distinct queries, ``matches`` is
-    ``match_table_rows`` bucketed by ``row_id``. The pass itself has no exchange: every task
-    commits what it found to the shared folder, so a lost executor costs its running tasks
-    only, and row ids are fixed before anything is placed by them. The bucketing then moves
-    the narrow rows once.
+    The pass itself has no exchange: every task commits what it found to the shared folder,
+    so a lost executor costs its running tasks only, and row ids are fixed before anything is
+    placed by them. The bucketing then moves the narrow rows once.
     """
-    stopwords = tuple(stopwords)
-    parsed = parse_queries(distinct_queries(queries), token_pattern, stopwords)
-    postings = space.table("postings", query_postings(parsed))
     found = document_matches(
         articles,
         wanted_terms(postings),
         max_paragraphs=max_paragraphs,
         token_pattern=token_pattern,
-        stopwords=stopwords,
+        stopwords=tuple(stopwords),
     )
     found = space.table("found", match_table_rows(found))
-    return postings, space.bucketed_table("matches", found, "row_id")
+    return space.bucketed_table("matches", found, "row_id")
 
 
 def rank_documents(
@@ -71,20 +67,35 @@ def rank_documents(
     min_distance: float = MIN_TITLE_DISTANCE,
     cf_mode: str = "per_query",
     ratio: str = "floor",
+    max_paragraphs: int = MAX_PARAGRAPHS,
+    token_pattern: str = TOKEN_PATTERN,
+    stopwords: Iterable[str] = STOPWORDS,
     window: int = WINDOW,
     work_dir: str | None = None,
-    **text_options,
 ) -> DataFrame:
     """``(query_id, original_query, rank, doc_id, score, title)``, at most ``k`` rows per query.
 
     ``queries`` has one ``original_query`` per row, ``articles`` the columns ``id, title,
-    contents``; ``text_options`` are those of ``match_documents``. The articles are read once.
-    That pass leaves a narrow table of matches, bucketed by row; statistics, scores, ranks and
-    titles all come from it.
+    contents``. The articles are read once. That pass leaves a narrow table of matches,
+    bucketed by row; statistics, scores, ranks and titles all come from it. Inside, a query is
+    a number (fixed by writing the query table), so that long queries do not make wide keys.
     """
+    stopwords = tuple(stopwords)
     space = Workspace(articles.sparkSession, work_dir)
     try:
-        postings, matches = match_documents(space, queries, articles, **text_options)
+        parsed = parse_queries(distinct_queries(queries), token_pattern, stopwords)
+        parsed = space.table(
+            "queries", parsed.withColumn("query_id", F.monotonically_increasing_id())
+        )
+        postings = query_postings(parsed)
+        matches = match_documents(
+            space,
+            postings,
+            articles,
+            max_paragraphs=max_paragraphs,
+            token_pattern=token_pattern,
+            stopwords=stopwords,
+        )
         terms = space.table("terms", scoring_terms(matches, postings, cf_mode))
 
         def with_titles(top: DataFrame) -> DataFrame:
@@ -105,6 +116,8 @@ def rank_documents(
         )
     finally:
         space.close()
-    return kept_rows(kept).select(
-        "query_id", F.col("query_id").alias("original_query"), "rank", "doc_id", "score", "title"
+    named = kept_rows(kept).join(parsed.select("query_id", "original_query"), "query_id")
+    return named.select(
+        F.col("original_query").alias("query_id"),
+        "original_query", "rank", "doc_id", "score", "title",
     )

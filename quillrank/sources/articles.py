@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillrank.schema import ARTICLE, PARAGRAPH
+from quillrank.sources.workspace import size_in_bytes
 
 # What ranking reads of an article. A JSON reader prunes whole columns but not the fields
 # inside an array of structs, so the narrow form is a read schema of its own.
@@ -80,8 +81,6 @@ def spread(rows: DataFrame) -> DataFrame:
     """Rows of a small table, over all cores. A file with one row group is one scan task
     however many cores wait for it. The exchange is added only below 1 GiB (by the size
     Catalyst knows from the files); a large table has row groups enough and is left alone."""
-    spark = rows.sparkSession
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= _SMALL_INPUT:
+    if size_in_bytes(rows) >= _SMALL_INPUT:
         return rows
-    return rows.repartition(spark.sparkContext.defaultParallelism)
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)

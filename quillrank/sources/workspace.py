@@ -13,6 +13,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+# A bucket holds about this many bytes of Parquet; small tables get smaller buckets, down to
+# the lower bound, as long as that gives idle cores something to do.
+_BUCKET_BYTES = 128 << 20
+_MIN_BUCKET_BYTES = 64 << 10
+_MAX_BUCKETS = 50_000
+
 _local_folders: dict[str, str] = {}
 
 
@@ -31,6 +38,18 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def size_in_bytes(rows: DataFrame) -> int:
+    """What Catalyst knows of the size: for a table on files, the size of the files."""
+    return int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def buckets_for(size: int, cores: int) -> int:
+    """As many buckets as the size asks for, and enough for all cores if that is not silly."""
+    by_size = -(-size // _BUCKET_BYTES)
+    for_cores = min(cores, size // _MIN_BUCKET_BYTES)
+    return max(1, min(max(by_size, for_cores), _MAX_BUCKETS))
+
+
 class Workspace:
     """The tables of one run. They stay on disk after the run, like checkpoint files do: the
     result of a run is read from them."""
@@ -47,9 +66,9 @@ class Workspace:
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def bucketed_table(self, name: str, rows: DataFrame, key: str) -> DataFrame:
-        """Rows placed by hash of ``key``: a later grouping or join on the key (or on the key
-        and more) finds them in place and needs no exchange."""
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        """Rows of a table, placed by hash of ``key``: a later grouping or join on the key (or
+        on the key and more) finds them in place and needs no exchange."""
+        buckets = buckets_for(size_in_bytes(rows), self.spark.sparkContext.defaultParallelism)
         identifier = f"{self.run}_{name}"
         (
             rows.repartition(buckets, key)

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from quillrank.operators.dedup import TIE_BREAK
 from quillrank.operators.documents import document_matches
+from quillrank.operators.matching import query_postings
 from quillrank.operators.ranking import top_ranked
 from quillrank.operators.scoring import document_scores
 from quillrank.operators.stats import scoring_terms
 from quillrank.plans.rank import match_documents, match_table_rows
 from quillrank.sources.articles import RANKING_FIELDS, read_articles, write_articles
+from quillrank.sources.queries import distinct_queries, parse_queries
 from quillrank.sources.workspace import Workspace
 
 from helpers import articles_frame, queries_frame
@@ -27,11 +29,12 @@ def plan(frame) -> str:
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     space = Workspace(spark, str(tmp_path_factory.mktemp("plans")))
-    postings, matches = match_documents(
-        space, queries_frame(spark, QUERIES), articles_frame(spark, corpus())
-    )
+    parsed = parse_queries(distinct_queries(queries_frame(spark, QUERIES)))
+    postings = space.table("postings", query_postings(parsed))
+    matches = match_documents(space, postings, articles_frame(spark, corpus()))
     terms = space.table("terms", scoring_terms(matches, postings))
-    return postings, matches, terms
+    yield postings, matches, terms
+    space.close()
 
 
 def test_the_pass_over_the_articles_has_no_exchange(spark, tmp_path):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillrank.plans import job
 from quillrank.schema import ARTICLE, CONTENT_FIELDS
 from quillrank.sources import articles, queries, rankings
-from quillrank.sources.workspace import Workspace, shared_folder
+from quillrank.sources.workspace import Workspace, buckets_for, shared_folder
 
 from helpers import queries_frame
 
@@ -130,10 +130,18 @@ def test_workspace(spark, tmp_path):
     space = Workspace(spark, str(tmp_path))
     table = space.table("q", queries_frame(spark, ["a", "b"]))
     assert table.count() == 2
-    bucketed = space.bucketed_table("b", spark.range(10), "id")
+    bucketed = space.bucketed_table("b", space.table("ids", spark.range(10)), "id")
     grouped = bucketed.groupBy("id").count()
     assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
     space.close()
     assert bucketed.count() == 10
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("quillrank")]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(space.run)]
     assert shared_folder(spark)
+
+
+def test_buckets_follow_the_size():
+    assert buckets_for(1_000, 8) == 1
+    assert buckets_for(10 << 20, 8) == 8
+    assert buckets_for(10 << 20, 8000) == 160
+    assert buckets_for(300 << 30, 8000) == 8000
+    assert buckets_for(3 << 40, 8000) == 24576
