@@ -4,10 +4,13 @@ one unless its title is too close to the title of one already kept; stop at ``k`
 A document's fate depends only on better-ranked *kept* documents. So the walk can be cut
 anywhere: fold a bounded window of top rows, and if a query is still short, drop in parallel
 everything that is too close to what it has kept, and fold the next window of what is left.
-Each further round keeps at least one more document per open query (its best survivor is
-close to nothing kept), hence at most ``k`` rounds, with no group larger than the window in
-one task however many copies a title has. Nothing is capped: a query is closed only when it
-has ``k`` documents or no candidate is left.
+A further round keeps at least one more document per open query (its best survivor is close
+to nothing kept) or finds that nothing is left, so the rounds are few and no group larger
+than the window meets in one task, however many copies a title has.
+
+The further rounds look at a stretch of the ranking that grows eightfold, down to a score
+that a quantile sketch gives, so that the work follows how deep the walk really has to go.
+Nothing is capped: a query is closed only when it has ``k`` documents or no candidate is left.
 """
 
 from __future__ import annotations
@@ -18,31 +21,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.functions.titles import near_title
-from quillrank.operators.ranking import top_ranked
+from quillrank.operators.ranking import SCORE_DIGITS, top_ranked
 from quillrank.schema import MIN_TITLE_DISTANCE, TOP_K
 
 ITEM = "struct<row_id:bigint,doc_id:string,score:double,title:string>"
 TIE_BREAK = ("doc_id", "row_id")
 WINDOW = 200
 
+# The stretches of the ranking that further rounds look at, as shares of the candidates; a
+# stretch is passed over while it holds less than a few windows. The last is everything.
+_SHARES = (1 / 4096, 1 / 512, 1 / 64, 1 / 8)
+_MIN_WINDOWS = 4
+
 
 def _walk(ranked: Column, kept: Column, k: int, min_distance: float) -> Column:
     def step(acc: Column, item: Column) -> Column:
-        close = F.exists(acc, lambda d: near_title(d["title"], item["title"], min_distance))
+        close = _close_to_any(acc, item["title"], min_distance)
         return F.when((F.size(acc) < k) & ~close, F.concat(acc, F.array(item))).otherwise(acc)
 
     return F.aggregate(ranked, kept, step)
 
 
+def _close_to_any(kept: Column, title: Column, min_distance: float) -> Column:
+    """Equal titles settle it before any edit distance is computed."""
+    if min_distance <= 0:
+        return F.lit(False)
+    equal = F.exists(kept, lambda d: (d["title"] == title) & (title != ""))
+    return equal | F.exists(kept, lambda d: near_title(d["title"], title, min_distance))
+
+
 def fold_window(
     window: DataFrame,
     kept: DataFrame | None = None,
     k: int = TOP_K,
     min_distance: float = MIN_TITLE_DISTANCE,
-    size: int = WINDOW,
 ) -> DataFrame:
-    """``(query_id, kept, done)`` from ranked rows ``(query_id, rank, row_id, doc_id, score,
-    title)``, at most ``size`` per query, continuing from ``kept`` where given."""
+    """``(query_id, kept, seen)`` from ranked rows ``(query_id, rank, row_id, doc_id, score,
+    title)``, a bounded number per query (``seen``), continuing from ``kept`` where given."""
     item = F.struct("row_id", "doc_id", "score", "title").cast(ITEM)
     # Few bytes but much work per query: the fixed number keeps adaptive execution from
     # folding all queries in one task because their rows are small.
@@ -65,25 +80,45 @@ def fold_window(
         "query_id",
         _walk(ranked_rows, F.col("before"), k, min_distance).alias("kept"),
         F.size(ranked_rows).alias("seen"),
-    ).select(
-        "query_id", "kept", ((F.size("kept") >= k) | (F.col("seen") < size)).alias("done")
+    )
+
+
+def stretch_bounds(scores: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``(query_id, bounds)``: the scores down to which further rounds look, one after the
+    other, ending with minus infinity. Sketches only: a bound that is a little off makes a
+    stretch longer or shorter, not wrong."""
+    shares = [1.0 - share for share in _SHARES]
+    sketch = scores.groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("score", shares).alias("cuts")
+    )
+    long_enough = F.filter(
+        F.arrays_zip(F.array(*[F.lit(share) for share in _SHARES]).alias("share"), "cuts"),
+        lambda z: z["share"] * F.col("n") >= _MIN_WINDOWS * size,
+    )
+    cuts = F.transform(long_enough, lambda z: z["cuts"])
+    return sketch.select(
+        "query_id", F.concat(cuts, F.array(F.lit(float("-inf")))).alias("bounds")
     )
 
 
 def survivors(
     scores: DataFrame, open_queries: DataFrame, min_distance: float = MIN_TITLE_DISTANCE
 ) -> DataFrame:
-    """The scored, titled rows of open queries that nothing kept so far rules out. Rows of
-    earlier windows were kept, or are close to a kept title, so they are out as well."""
-    ruled_out = F.exists(
-        "kept",
-        lambda d: (d["row_id"] == F.col("row_id"))
-        | near_title(d["title"], F.col("title"), min_distance),
+    """The scored, titled rows of open queries, down to the bound of their stretch, that
+    nothing kept so far rules out. Rows of earlier windows were kept, or are close to a kept
+    title, so they are out as well."""
+    state = open_queries.select(
+        "query_id", "kept", F.get("bounds", F.col("stretch")).alias("bound")
+    )
+    ruled_out = F.exists("kept", lambda d: d["row_id"] == F.col("row_id")) | _close_to_any(
+        F.col("kept"), F.col("title"), min_distance
     )
     return (
-        scores.join(open_queries.select("query_id", "kept"), "query_id")
+        scores.join(state, "query_id")
+        # rounded as in the ranking, so that a stretch is a whole number of places in it
+        .where(F.round("score", SCORE_DIGITS) >= F.round("bound", SCORE_DIGITS))
         .where(~ruled_out)
-        .drop("kept")
+        .drop("kept", "bound")
     )
 
 
@@ -102,24 +137,34 @@ def distinct_top(
     of few rows; ``titled_scores`` gives the scores of some queries, with titles, for the
     rare further rounds; ``save`` writes a small table and reads it back.
     """
+    full, seen_all = F.size("kept") >= k, F.col("seen") < size
     window = with_titles(top_ranked(scores, size, TIE_BREAK))
-    state = save("kept_1", fold_window(window, None, k, min_distance, size))
-    closed = [state.where("done")]
-    open_queries = state.where(~F.col("done"))
+    first = save("kept_1", fold_window(window, None, k, min_distance))
+    closed = [first.where(full | seen_all).select("query_id", "kept")]
+    open_queries = first.where(~(full | seen_all))
+    if not open_queries.isEmpty():
+        bounds = stretch_bounds(titled_scores(open_queries), size)
+        open_queries = save(
+            "bounds", open_queries.join(bounds, "query_id").withColumn("stretch", F.lit(0))
+        )
     round_no = 1
     while not open_queries.isEmpty():
         round_no += 1
         left = survivors(titled_scores(open_queries), open_queries, min_distance)
-        window = top_ranked(left, size, TIE_BREAK)
-        state = save(
-            f"kept_{round_no}", fold_window(window, open_queries, k, min_distance, size)
+        folded = fold_window(top_ranked(left, size, TIE_BREAK), open_queries, k, min_distance)
+        places = open_queries.select("query_id", "bounds", "stretch")
+        # A stretch that gave less than a full window is used up.
+        state = folded.join(places, "query_id").withColumn(
+            "stretch", F.col("stretch") + seen_all.cast("int")
         )
-        closed.append(state.where("done"))
-        open_queries = state.where(~F.col("done"))
+        state = save(f"kept_{round_no}", state)
+        done = full | (F.col("stretch") >= F.size("bounds"))
+        closed.append(state.where(done).select("query_id", "kept"))
+        open_queries = state.where(~done)
     result = closed[0]
     for part in closed[1:]:
         result = result.unionByName(part)
-    return result.select("query_id", "kept")
+    return result
 
 
 def kept_rows(kept: DataFrame) -> DataFrame:

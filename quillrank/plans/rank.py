@@ -15,7 +15,7 @@ from quillrank.operators.scoring import document_scores
 from quillrank.operators.stats import scoring_terms
 from quillrank.schema import MAX_PARAGRAPHS, MIN_TITLE_DISTANCE, TOP_K
 from quillrank.sources.queries import distinct_queries, parse_queries
-from quillrank.sources.workspace import Workspace
+from quillrank.sources.workspace import Workspace, size_in_bytes
 
 
 def match_table_rows(matches: DataFrame) -> DataFrame:
@@ -32,6 +32,25 @@ def match_table_rows(matches: DataFrame) -> DataFrame:
     )
 
 
+def collapse_copies(found: DataFrame) -> DataFrame:
+    """One row per group of documents with equal title, length and matches, and the number of
+    ``copies`` it stands for.
+
+    Such documents have the same score for every query, so all but the one with the lowest
+    id fall to its title, whatever else is ranked: collapsing them changes no result. All
+    documents without a match fold into one row per length. Each task folds its own copies
+    before the exchange, so a title that a third of the corpus shares makes no hot partition.
+    Empty titles are never copies of each other and stay apart.
+    """
+    first = F.min(F.struct("doc_id", "row_id")).alias("first")
+    apart = F.when(F.col("title") == "", F.col("row_id")).alias("apart")
+    return (
+        found.groupBy("title", "dl", "matches", apart)
+        .agg(first, F.count(F.lit(1)).alias("copies"))
+        .select("first.row_id", "first.doc_id", "title", "dl", "copies", "matches")
+    )
+
+
 def match_documents(
     space: Workspace,
     postings: DataFrame,
@@ -40,9 +59,10 @@ def match_documents(
     max_paragraphs: int = MAX_PARAGRAPHS,
     token_pattern: str = TOKEN_PATTERN,
     stopwords: Iterable[str] = STOPWORDS,
+    collapse: bool = False,
 ) -> DataFrame:
     """The one pass over the articles: ``match_table_rows`` as a table of ``space``, bucketed
-    by ``row_id``.
+    by ``row_id``; with ``collapse``, ``collapse_copies`` of it.
 
     The pass itself has no exchange: every task commits what it found to the shared folder,
     so a lost executor costs its running tasks only, and row ids are fixed before anything is
@@ -56,7 +76,10 @@ def match_documents(
         stopwords=tuple(stopwords),
     )
     found = space.table("found", match_table_rows(found))
-    return space.bucketed_table("matches", found, "row_id")
+    size = size_in_bytes(found)
+    return space.bucketed_table(
+        "matches", collapse_copies(found) if collapse else found, "row_id", size
+    )
 
 
 def rank_documents(
@@ -95,6 +118,7 @@ def rank_documents(
             max_paragraphs=max_paragraphs,
             token_pattern=token_pattern,
             stopwords=stopwords,
+            collapse=min_distance > 0,
         )
         terms = space.table("terms", scoring_terms(matches, postings, cf_mode))
 

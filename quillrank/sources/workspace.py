@@ -65,10 +65,11 @@ class Workspace:
         rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def bucketed_table(self, name: str, rows: DataFrame, key: str) -> DataFrame:
-        """Rows of a table, placed by hash of ``key``: a later grouping or join on the key (or
-        on the key and more) finds them in place and needs no exchange."""
-        buckets = buckets_for(size_in_bytes(rows), self.spark.sparkContext.defaultParallelism)
+    def bucketed_table(self, name: str, rows: DataFrame, key: str, size: int) -> DataFrame:
+        """Rows placed by hash of ``key``: a later grouping or join on the key (or on the key
+        and more) finds them in place and needs no exchange. ``size`` is what the rows take
+        on disk, or a bound of it."""
+        buckets = buckets_for(size, self.spark.sparkContext.defaultParallelism)
         identifier = f"{self.run}_{name}"
         (
             rows.repartition(buckets, key)

@@ -114,6 +114,20 @@ def test_articles_sharing_an_id_stay_apart(spark, tmp_path):
     assert len(found["ipo"]) == 2
 
 
+def test_copies_of_whole_documents(spark, tmp_path):
+    """Collapsing copies changes neither the statistics nor the order among documents."""
+    rng = random.Random(9)
+    rows = corpus(20) + [article(f"e{i}", "", "ipo news") for i in range(4)]
+    rows = [(f"{doc_id}-{rng.randint(0, 9999):04}", title, contents)
+            for doc_id, title, contents in rows for _ in range(rng.choice([1, 2, 9]))]
+    for options in ({}, {"ratio": "exact", "cf_mode": "corpus"}, {"min_distance": 0.0}):
+        found = as_lists(rank_documents(
+            queries_frame(spark, QUERIES), articles_frame(spark, rows), work_dir=str(tmp_path),
+            window=5, **options,
+        ))
+        assert_same(found, brute_force(spark, QUERIES, rows, **options))
+
+
 def test_no_query_matches(spark, tmp_path):
     for lines in (["zzzz"], ["on the", ""]):
         found = rank_documents(

@@ -130,7 +130,7 @@ def test_workspace(spark, tmp_path):
     space = Workspace(spark, str(tmp_path))
     table = space.table("q", queries_frame(spark, ["a", "b"]))
     assert table.count() == 2
-    bucketed = space.bucketed_table("b", space.table("ids", spark.range(10)), "id")
+    bucketed = space.bucketed_table("b", spark.range(10), "id", 1 << 20)
     grouped = bucketed.groupBy("id").count()
     assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
     space.close()
