@@ -8,7 +8,7 @@ the suffix first (cheap) and evaluates its condition on the remaining stem only
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -73,8 +73,15 @@ def _suffix_rule(suffix: str, replacement: str, allowed: str) -> tuple[str, str]
     return _ends(suffix), _case((allowed.format(stem=stem), new))
 
 
-def _longest_first(rules: Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
-    return sorted(rules, key=lambda rule: -len(rule[0]))
+def _suffix_table(rules: Iterable[tuple[str, str]], allowed: Callable[[str], str]) -> str:
+    """Longest suffix first. Most words end like none of the suffixes, which their last two
+    letters tell."""
+    rules = sorted(rules, key=lambda rule: -len(rule[0]))
+    endings = sorted({suffix[-2:] for suffix, _ in rules})
+    return _case(
+        (f"NOT {is_one_of('right(x, 2)', endings)}", "x"),
+        *[_suffix_rule(suffix, new, allowed(suffix)) for suffix, new in rules],
+    )
 
 
 def _steps() -> list[str]:
@@ -103,16 +110,14 @@ def _steps() -> list[str]:
         otherwise=bare,
     )
     final_y = _case((f"{_ends('y')} AND {_like(bare, _HAS_VOWEL)}", f"concat({bare}, 'i')"))
-    step_2 = _case(*[_suffix_rule(s, r, measured) for s, r in _longest_first(_STEP_2)])
-    step_3 = _case(*[_suffix_rule(s, r, measured) for s, r in _longest_first(_STEP_3)])
     long_stem = _like(stem, _M_GT_1)
-    step_4 = _case(*[
-        _suffix_rule(
-            suffix, "",
-            f"{long_stem} AND {_ends('s', 't', word=stem)}" if suffix == "ion" else long_stem,
-        )
-        for suffix, _ in _longest_first((suffix, "") for suffix in _STEP_4)
-    ])
+    after_s_or_t = f"{long_stem} AND {_ends('s', 't', word=stem)}"
+    step_2 = _suffix_table(_STEP_2, lambda suffix: measured)
+    step_3 = _suffix_table(_STEP_3, lambda suffix: measured)
+    step_4 = _suffix_table(
+        [(suffix, "") for suffix in _STEP_4],
+        lambda suffix: after_s_or_t if suffix == "ion" else long_stem,
+    )
     lone = f"{_like(bare, _M_EQ_1)} AND NOT {_like(bare, _SHORT_CVC)}"
     final_e = _case((f"{_ends('e')} AND ({_like(bare, _M_GT_1)} OR {lone})", bare))
     final_ll = _case(
@@ -136,19 +141,31 @@ def stem_word(word: Column) -> Column:
     return F.get(stem_words(F.array(word)), F.lit(0))
 
 
-# How much of a stem is sure to be a prefix of every word that has this stem. The rules only
-# cut at the end of a word or rewrite what they cut: the rewritten part that survives to the
-# end is at most the last letter of the stem (an added ``e``, ``i`` for ``y``, the ``l`` of
-# ``bl``), and the first letter is never touched.
-_MAX_PREFIX = 4
+# What is sure about a word from its stem. The rules only cut at the end of a word or rewrite
+# what they cut, and a rewritten letter survives to the end in three cases only: an ``e`` put
+# back, an ``i`` for ``y``, the ``l`` of ``bl``. So a stem, without its last letter in those
+# cases, is a prefix of its words. And every cut but the plural one asks for a vowel in what
+# is left, so a stem without vowels is the word or its plural.
+_MAX_PREFIX = 5
+
+
+def _sure_prefix(stem: str) -> str:
+    sure = stem[:-1] if stem.endswith(("e", "i", "bl")) else stem
+    return (sure or stem)[:_MAX_PREFIX]
 
 
 def may_stem_to(stems: Iterable[str]) -> str:
     """Condition over ``x``, necessary for the stem of ``x`` to be one of ``stems``: the word
     starts like one of them. Cheap, and it leaves few words to stem."""
+    words: set[str] = set()
     by_length: dict[int, set[str]] = {}
     for stem in stems:
-        n = min(max(len(stem) - 1, 1), _MAX_PREFIX)
-        by_length.setdefault(n, set()).add(stem[:n])
+        if set(stem) & set("aeiouy"):
+            prefix = _sure_prefix(stem)
+            by_length.setdefault(len(prefix), set()).add(prefix)
+        else:
+            words.update((stem, stem + "s", stem + "es"))
     tests = [is_one_of(f"left(x, {n})", sorted(by_length[n])) for n in sorted(by_length)]
+    if words:
+        tests.insert(0, is_one_of("x", sorted(words)))
     return " OR ".join(tests) or "false"

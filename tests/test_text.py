@@ -53,7 +53,7 @@ def test_a_stem_starts_like_its_word(spark):
         ated bled ized ll""".split()
     words = set()
     for _ in range(20000):
-        root = "".join(rng.choice("aeiouybcdlnst") for _ in range(rng.randint(0, 5)))
+        root = "".join(rng.choice("aeiouybcdlnst") for _ in range(rng.randint(0, 5)))  # y: both roles
         words.add(root + "".join(rng.sample(suffixes, rng.randint(0, 3))))
     words.discard("")
     table = pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["text"])
@@ -61,10 +61,13 @@ def test_a_stem_starts_like_its_word(spark):
         F.explode(text.tokenise(F.col("t"))).alias("x")
     )
     rows = column(spark, words).union(tokens).distinct()
-    stemmed = rows.select("x", stem_word(F.col("x")).alias("s")).withColumn(
-        "n", F.greatest(F.lit(1), F.length("s") - 1)
-    )
-    assert stemmed.where(F.expr("s = '' OR left(x, n) <> left(s, n)")).collect() == []
+    stemmed = rows.select("x", stem_word(F.col("x")).alias("s"))
+    found = stemmed.collect()
+    for r in found:
+        sure = r.s[:-1] if r.s.endswith(("e", "i", "bl")) and len(r.s) > 1 else r.s
+        assert r.s and r.x.startswith(sure), r
+        if not set(r.s) & set("aeiouy"):
+            assert r.x in (r.s, r.s + "s", r.s + "es"), r
     stems = [r.s for r in stemmed.select("s").distinct().orderBy(F.xxhash64("s")).head(300)]
     hit = stemmed.where(F.col("s").isin(stems))
     assert hit.where(f"NOT ({may_stem_to(stems)})").count() == 0
