@@ -142,13 +142,14 @@ def distinct_top(
     first = save("kept_1", fold_window(window, None, k, min_distance))
     closed = [first.where(full | seen_all).select("query_id", "kept")]
     open_queries = first.where(~(full | seen_all))
-    if not open_queries.isEmpty():
+    left_open = not open_queries.isEmpty()
+    if left_open:
         bounds = stretch_bounds(titled_scores(open_queries), size)
         open_queries = save(
             "bounds", open_queries.join(bounds, "query_id").withColumn("stretch", F.lit(0))
         )
     round_no = 1
-    while not open_queries.isEmpty():
+    while left_open:
         round_no += 1
         left = survivors(titled_scores(open_queries), open_queries, min_distance)
         folded = fold_window(top_ranked(left, size, TIE_BREAK), open_queries, k, min_distance)
@@ -161,6 +162,7 @@ def distinct_top(
         done = full | (F.col("stretch") >= F.size("bounds"))
         closed.append(state.where(done).select("query_id", "kept"))
         open_queries = state.where(~done)
+        left_open = not open_queries.isEmpty()
     result = closed[0]
     for part in closed[1:]:
         result = result.unionByName(part)

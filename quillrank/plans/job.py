@@ -1,4 +1,4 @@
-"""Batch job: ``spark-submit -m``-style entry point around ``rank_documents``.
+"""Batch job around ``rank_documents``.
 
     python -m quillrank.plans.job --queries queries.txt --articles news.jsonl --out results/run1
 
