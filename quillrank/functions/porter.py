@@ -167,5 +167,11 @@ def may_stem_to(stems: Iterable[str]) -> str:
             words.update((stem, stem + "s", stem + "es"))
     tests = [is_one_of(f"left(x, {n})", sorted(by_length[n])) for n in sorted(by_length)]
     if words:
-        tests.insert(0, is_one_of("x", sorted(words)))
-    return " OR ".join(tests) or "false"
+        tests.append(is_one_of("x", sorted(words)))
+    if not tests:
+        return "false"
+    # Most words already differ from all of them in the first two letters.
+    starts = words.union(*by_length.values())
+    n = min(2, min(map(len, starts)))
+    first = is_one_of(f"left(x, {n})", sorted({start[:n] for start in starts}))
+    return f"{first} AND ({' OR '.join(tests)})"
