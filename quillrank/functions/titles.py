@@ -17,19 +17,32 @@ def title_distance(a: Column, b: Column) -> Column:
     return F.levenshtein(a, b) / F.nullif(longer, F.lit(0))
 
 
+def _most_edits(longer: Column, min_distance: float) -> Column:
+    """The largest number of edits whose share of ``longer`` is below ``min_distance``, by the
+    same division that the distance makes."""
+    bound = F.ceil(longer * F.lit(min_distance)).cast("int")
+    return (
+        F.when(bound / longer < min_distance, bound)
+        .when((bound - 1) / longer < min_distance, bound - 1)
+        .otherwise(bound - 2)
+    )
+
+
 def near_title(a: Column, b: Column, min_distance: float = MIN_TITLE_DISTANCE) -> Column:
     """True when ``title_distance(a, b) < min_distance``.
 
     The edit distance is at least the difference in length, so titles of very different
-    length are settled without it, and the rest is computed only up to the largest distance
-    that could still be near (the bounded form answers -1 beyond that).
+    length are settled without it, and the rest is computed once and only up to the largest
+    distance that is still near (the bounded form answers -1 beyond that).
     """
+    if min_distance <= 0:
+        return F.lit(False)
+    min_distance = float(min_distance)
     longer = F.greatest(F.length(a), F.length(b))
     gap = F.abs(F.length(a) - F.length(b))
-    limit = F.floor(longer * F.lit(float(min_distance))).cast("int")
-    edits = F.call_function("levenshtein", a, b, limit)
     return (
-        F.when((longer == 0) | (gap / F.nullif(longer, F.lit(0)) >= min_distance), F.lit(False))
-        .when(a == b, F.lit(min_distance > 0))
-        .otherwise((edits >= 0) & (edits / F.nullif(longer, F.lit(0)) < min_distance))
+        F.when(longer == 0, F.lit(False))
+        .when(gap / longer >= min_distance, F.lit(False))
+        .when(a == b, F.lit(True))
+        .otherwise(F.call_function("levenshtein", a, b, _most_edits(longer, min_distance)) >= 0)
     )

@@ -17,7 +17,7 @@ _CHECKPOINT_DIR = "spark.checkpoint.dir"
 # A bucket holds about this many bytes of Parquet; small tables get smaller buckets, down to
 # the lower bound, as long as that gives idle cores something to do.
 _BUCKET_BYTES = 128 << 20
-_MIN_BUCKET_BYTES = 64 << 10
+_MIN_BUCKET_BYTES = 16 << 10
 _MAX_BUCKETS = 50_000
 
 _local_folders: dict[str, str] = {}

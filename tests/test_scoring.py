@@ -50,15 +50,18 @@ def test_title_distance_and_near(spark):
         title_distance(F.col("a"), F.col("b")).alias("d"),
         near_title(F.col("a"), F.col("b")).alias("near"),
         near_title(F.col("b"), F.col("a"), 0.3).alias("near3"),
+        near_title(F.col("a"), F.col("b"), 0.0).alias("never"),
+        near_title(F.col("a"), F.col("b"), 1.5).alias("always"),
     )
     for r in rows.collect():
         longer = max(len(r.a), len(r.b))
         if longer == 0:
-            assert r.d is None and r.near is False and r.near3 is False
+            assert r.d is None and not (r.near or r.near3 or r.never or r.always)
             continue
         expected = edit_distance(r.a, r.b) / longer
         assert r.d == expected
         assert r.near == (expected < 0.5) and r.near3 == (expected < 0.3), (r.a, r.b)
+        assert r.always and not r.never
 
 
 def test_order_within_a_query(spark):
@@ -69,3 +72,14 @@ def test_order_within_a_query(spark):
     assert ranks == {("q", "d"): 1, ("q", "a"): 2, ("q", "b"): 3, ("q", "e"): 4,
                      ("q", "c"): 5, ("r", "z"): 1}
     assert top_ranked(scores, 2).count() == 3
+
+
+def test_near_at_every_threshold(spark):
+    """The bound on the number of edits agrees with the division at any share."""
+    a = "abcdefghijklmnopqrstuvwxyzabcdefghijklmnopqrst"
+    pairs = [(a[:n], a[:n - m] + "#" * m) for n in (1, 3, 7, 10, 30, 46) for m in range(n + 1)]
+    rows = spark.createDataFrame(pairs, "a string, b string")
+    for share in (0.1, 0.2, 0.3, 1 / 3, 0.7, 0.9, 1.0):
+        found = rows.select("a", "b", near_title(F.col("a"), F.col("b"), share).alias("near"))
+        for r in found.collect():
+            assert r.near == (r.b.count("#") / len(r.a) < share), (r, share)

@@ -142,6 +142,6 @@ def test_workspace(spark, tmp_path):
 def test_buckets_follow_the_size():
     assert buckets_for(1_000, 8) == 1
     assert buckets_for(10 << 20, 8) == 8
-    assert buckets_for(10 << 20, 8000) == 160
+    assert buckets_for(10 << 20, 8000) == 640
     assert buckets_for(300 << 30, 8000) == 8000
     assert buckets_for(3 << 40, 8000) == 24576
