@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many distinct query terms are written into the plan as a hash set; a larger
-# query set is matched by join alone.
-MAX_WANTED = 4000
+# Up to this many distinct query terms (about a megabyte) are written into the plan as a hash
+# set, for a second or two of planning; a larger query set is matched by join alone.
+MAX_WANTED = 50_000
 
 
 def query_postings(parsed: DataFrame) -> DataFrame:

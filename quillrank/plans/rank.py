@@ -62,24 +62,25 @@ def match_documents(
     collapse: bool = False,
 ) -> DataFrame:
     """The one pass over the articles: ``match_table_rows`` as a table of ``space``, bucketed
-    by ``row_id``; with ``collapse``, ``collapse_copies`` of it.
+    by ``row_id``; with ``collapse``, ``collapse_copies`` of it, unless the query set is too
+    large to select terms in the pass: rows are wide then, and grouping by them costs more
+    than it saves.
 
     The pass itself has no exchange: every task commits what it found to the shared folder,
     so a lost executor costs its running tasks only, and row ids are fixed before anything is
     placed by them. The bucketing then moves the narrow rows once.
     """
+    wanted = wanted_terms(postings)
     found = document_matches(
         articles,
-        wanted_terms(postings),
+        wanted,
         max_paragraphs=max_paragraphs,
         token_pattern=token_pattern,
         stopwords=tuple(stopwords),
     )
     found = space.table("found", match_table_rows(found))
-    size = size_in_bytes(found)
-    return space.bucketed_table(
-        "matches", collapse_copies(found) if collapse else found, "row_id", size
-    )
+    rows = collapse_copies(found) if collapse and wanted is not None else found
+    return space.bucketed_table("matches", rows, "row_id", size_in_bytes(found))
 
 
 def rank_documents(

@@ -23,7 +23,7 @@ def corpus(n=80, seed=3):
 
     rows = []
     for i in range(n):
-        title = rng.choice([None, "", text(1, 3), text(4, 8), text(4, 8), "James Bond turns 50"])
+        title = rng.choice([None, "", text(1, 3), text(4, 8), text(4, 8), "A bond for the harbour"])
         items = [(text(3, 30), rng.choice(["paragraph", "paragraph", "image", None]))
                  for _ in range(rng.randint(0, 9))]
         if rng.random() < 0.2:

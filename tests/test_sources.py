@@ -22,7 +22,7 @@ LINES = [
     '{"id":"a2","title":null,"contents":null}',
 ]
 
-RANKED = [("james bond", 1, "d1", 5.475022177510533, "Bond, James"),
+RANKED = [("james bond", 1, "d1", 4.123456789012345, "Bond, James"),
           ("james bond", 2, "d2", 5.0, "Café"), ("finance", 1, "d9", float("-inf"), "")]
 
 
@@ -76,7 +76,7 @@ def test_queries(spark, tmp_path):
 def test_ranking_text(ranked):
     texts = {r.query_file: r.ranking for r in rankings.ranking_text(ranked).collect()}
     assert texts == {
-        "james_bond": "james bond\n  1:d1 5.475022177510533 Bond, James\n  2:d2 5.0 Café\n",
+        "james_bond": "james bond\n  1:d1 4.123456789012345 Bond, James\n  2:d2 5.0 Café\n",
         "finance": "finance\n  1:d9 -Infinity \n",
     }
 
@@ -88,7 +88,7 @@ def test_one_file_per_query(spark, ranked, tmp_path):
     assert len(files) == 1
     with open(files[0], encoding="utf-8") as file:
         text = file.read()
-    assert text == "james bond\n  1:d1 5.475022177510533 Bond, James\n  2:d2 5.0 Café\n"
+    assert text == "james bond\n  1:d1 4.123456789012345 Bond, James\n  2:d2 5.0 Café\n"
     rankings.write_ranking_table(ranked, str(tmp_path / "table"))
     assert spark.read.parquet(str(tmp_path / "table")).count() == 3
 
