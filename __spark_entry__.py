@@ -322,7 +322,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return rank_documents(_query_list(spark, FLAGSHIP), _articles(spark, sf_dir))
 
 
+def _corpus_queries():
+    """The registry of the corpus operators, or ``None`` where their subpackage (or the pipeline
+    beside it) has been taken away; any other import error is one."""
+    try:
+        from quillrank.llm import registry
+    except ModuleNotFoundError as error:
+        if (error.name or "").split(".")[:2] in (["quillrank", "llm"], ["corpus_pipeline"]):
+            return None
+        raise
+    return registry
+
+
 def queries() -> dict[str, Query]:
+    corpus = _corpus_queries()
+    return _ranking_queries() | (corpus.queries() if corpus else {})
+
+
+def _ranking_queries() -> dict[str, Query]:
     return {
         "src_queries": src_queries,
         "query_parse": query_parse,
@@ -359,4 +376,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return duck_oracle.oracle_sql()
+    corpus = _corpus_queries()
+    return duck_oracle.oracle_sql() | (corpus.oracle_sql() if corpus else {})
