@@ -1 +1,8 @@
 """Corpus operators for training data. Nothing else in the library imports this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel with the tasks, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
