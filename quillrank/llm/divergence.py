@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 COMMON_SHARE = 0.002      # a word is common in a language from this share of its words on
 MIN_CLASS_CHARS = 200     # shorter texts are not judged by their character classes
 MIN_COMMON_WORDS = 100    # texts with fewer words are not judged by their common words
-MAX_CLASS_DISTANCE = 0.20
-MAX_WORD_DISTANCE = 0.60
+MAX_CLASS_DISTANCE = 0.30
+MAX_WORD_DISTANCE = 0.38
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
