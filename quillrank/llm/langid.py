@@ -142,14 +142,15 @@ class LanguageModel:
 
 
 def _training_sample(docs: DataFrame, key: str, lang: str, text: str, per_lang: int) -> DataFrame:
-    """About ``per_lang`` documents of each language at most, picked by hash of the key."""
+    """About ``per_lang`` documents of each language at most, picked by hash of the key.
+    The shares are one row per language, so they are broadcast and no text is exchanged."""
     usable = docs.where(F.col(lang).isNotNull() & (F.length(text) <= TRAIN_MAX_CHARS)).select(
         F.col(key).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text")
     )
     sizes = docs.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(
         F.least(F.lit(1.0), per_lang / F.count(F.lit(1))).alias("share")
     )
-    return usable.join(sizes, "lang").where(bounded_share(F.col("id"), F.col("share")))
+    return usable.join(F.broadcast(sizes), "lang").where(bounded_share(F.col("id"), F.col("share")))
 
 
 def train(
