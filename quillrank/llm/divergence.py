@@ -132,7 +132,7 @@ def references(
     words = known.select("lang", F.explode(F.split(F.lower("text"), _WORD_BREAK)).alias("word"))
     counts = words.where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    common = counts.join(totals, "lang").where(F.col("n") >= F.col("total") * share)
+    common = counts.join(F.broadcast(totals), "lang").where(F.col("n") >= F.col("total") * share)
     rows = common.collect()
     for name, reference in found.items():
         own = {row["word"]: row["n"] for row in rows if row["lang"] == name}
