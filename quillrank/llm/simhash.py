@@ -125,15 +125,15 @@ def groups(rows: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     null name)."""
     prints = scratch.table("prints", rows.groupBy("fp").agg(F.min(key).alias("least")))
     linked = components(links(prints.select("fp")), scratch)
-    rooted = prints.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
-    named = rooted.where("root is not null").groupBy("root").agg(F.min("least").alias("first"))
+    linked = linked.join(prints.withColumnRenamed("fp", "node"), "node")
+    first = linked.groupBy("root").agg(F.min("least").alias("first"))
+    named = scratch.table("named", linked.join(first, "root").select("node", "first"))
     return scratch.table(
         "groups",
-        rooted.join(named, "root", "left").select(
-            "fp",
-            F.when(F.col("root").isNull(), F.col("least"))
-            .otherwise(F.col("first")).alias("component"),
-        ),
+        prints.join(named.withColumnRenamed("node", "fp").withColumn("linked", F.lit(True)), "fp",
+                    "left")
+        .select("fp", F.when(F.col("linked"), F.col("first")).otherwise(F.col("least"))
+                .alias("component")),
     )
 
 
