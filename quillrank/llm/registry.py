@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quillrank.llm import (
-    bigru, bytecnn, chat, divergence, langid, linededup, oracle, simhash,
+    bigru, bytecnn, chat, cws, divergence, langid, linededup, mixing, oracle, sentencepiece,
+    simhash,
 )
 from quillrank.llm.shared import documents, fold, labels
 
@@ -21,6 +23,16 @@ def op1_quality_cnn(spark, sf_dir):
     )
 
 
+def op2_sentencepiece(spark, sf_dir):
+    """Piece ids of every document, and the hash of what they decode to."""
+    encoded = sentencepiece.encode(documents(spark, sf_dir).select("doc_id", "text"))
+    back = sentencepiece.decode(F.col("ids"))
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
+        F.sha2(back, 256).alias("decoded_sha256"),
+    )
+
+
 def op3_language_id(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "lang", "text")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -66,10 +78,26 @@ def op6_line_dedup(spark, sf_dir):
     )
 
 
+def op7_mixing(spark, sf_dir):
+    """Every document with its leaf, its tokens and how often the mixture takes it."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source", "n_chars")
+    return mixing.with_copies(docs).select(
+        "row.doc_id", "domain", "lang", "source", "n_tokens", "copies"
+    )
+
+
 def op8_divergence_rules(spark, sf_dir):
     return divergence.quality_rules(documents(spark, sf_dir).select("doc_id", "lang", "text"))
 
 
+def op9_weighted_sampling(spark, sf_dir):
+    return cws.fingerprint_edits(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op10_toxicity_gru(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -82,12 +110,16 @@ def op10_toxicity_gru(spark, sf_dir):
 def queries():
     return {
         "op1_quality_cnn": op1_quality_cnn,
+        "op2_sentencepiece": op2_sentencepiece,
         "op3_language_id": op3_language_id,
         "op4_simhash": op4_simhash,
         "op5_chat_format": op5_chat_format,
         "op6_line_dedup": op6_line_dedup,
+        "op7_mixing": op7_mixing,
         "op8_divergence_rules": op8_divergence_rules,
+        "op9_weighted_sampling": op9_weighted_sampling,
         "op10_toxicity_gru": op10_toxicity_gru,
+        "pipeline": pipeline,
     }
 
 
