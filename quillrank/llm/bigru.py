@@ -23,6 +23,7 @@ THRESHOLD = 0.3
 TRAIN_ROWS = 4000      # bound of the training sample
 TRAIN_MAX_CHARS = 20_000
 EPOCHS = 4
+MIN_STEPS = 150        # small samples are passed more often
 BATCH = 48
 _BLOCK = 4096          # windows run at once
 _OWN = WINDOW - 2 * MARGIN
@@ -252,8 +253,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
     if len(texts):
         _start_from_counts(net, texts, wanted)
     adam = Adam(net.weights, rate=0.01, decay=1e-6)
-    for epoch in range(EPOCHS):
-        if epoch == EPOCHS - 2:
+    epochs = max(EPOCHS, -(-MIN_STEPS * BATCH // max(1, len(texts))))
+    for epoch in range(epochs if texts else 0):
+        if epoch == epochs - 2:
             adam.rate /= 4
         order = draw.permutation(len(texts))
         for at in range(0, len(order), BATCH):

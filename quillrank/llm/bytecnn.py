@@ -23,6 +23,7 @@ THRESHOLD = 0.3
 TRAIN_ROWS = 5000           # bound of the training sample
 TRAIN_MAX_CHARS = 20_000
 EPOCHS = 8
+MIN_STEPS = 300        # small samples are passed more often
 BATCH = 64
 _PAD = 512                  # symbol behind the end of a text
 _BLOCK = 256                # chunks convolved at once
@@ -154,8 +155,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
     net, draw = ByteCnn(), np.random.default_rng(2)
     adam = Adam(net.weights, rate=0.01, decay=1e-5)
     texts, wanted = sample["text"].tolist(), sample["label"].to_numpy(np.float32)
-    for epoch in range(EPOCHS):
-        if epoch == EPOCHS - 3:
+    epochs = max(EPOCHS, -(-MIN_STEPS * BATCH // max(1, len(texts))))
+    for epoch in range(epochs if texts else 0):
+        if epoch == epochs - 3:
             adam.rate /= 4
         order = draw.permutation(len(texts))
         for at in range(0, len(order), BATCH):
