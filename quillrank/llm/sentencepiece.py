@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quillrank.llm.pieces import MODEL_PATH, SPACE, PieceTable, load_pieces
 
 LONG_WORD = 256       # longer words take the row-wise form of the same search
-SHARE_CHARS = 32_000_000   # about how many characters of text meet in one share
+SHARE_CHARS = 2_000_000   # about how many characters of text meet in one share
 _BYTE_COST = 14.0     # cost of a byte that no piece covers
 
 
@@ -132,7 +132,7 @@ def encode(
     placed = docs.select(
         F.array(F.col(key).cast("string"), F.col(text)).alias("row"),
         F.pmod(F.xxhash64(key, text), F.lit(shares)).alias("share"),
-    ).repartition("share")
+    ).repartition(shares, "share")
     words = placed.select("share", F.explode(split_words(F.col("row")[1])).alias("word")).distinct()
     short = _lattice(words.where(F.length("word") <= LONG_WORD), table)
     costs, byte_ids = piece_costs(table), table.byte_ids
