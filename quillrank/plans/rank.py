@@ -68,7 +68,8 @@ def match_documents(
 
     The pass itself has no exchange: every task commits what it found to the shared folder,
     so a lost executor costs its running tasks only, and row ids are fixed before anything is
-    placed by them. The bucketing then moves the narrow rows once.
+    placed by them. Folding copies moves the narrow rows once, the bucketing once more; what the
+    pass has written is deleted after that.
     """
     wanted = wanted_terms(postings)
     found = document_matches(
@@ -80,7 +81,9 @@ def match_documents(
     )
     found = space.table("found", match_table_rows(found))
     rows = collapse_copies(found) if collapse and wanted is not None else found
-    return space.bucketed_table("matches", rows, "row_id", size_in_bytes(found))
+    matches = space.bucketed_table("matches", rows, "row_id", size_in_bytes(found))
+    space.drop("found")
+    return matches
 
 
 def rank_documents(

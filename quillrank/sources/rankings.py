@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,7 +25,8 @@ def ranking_text(rankings: DataFrame, decimals: int | None = None) -> DataFrame:
     """``(original_query, query_file, ranking)``: the query on the first line, then two spaces
     and ``rank:docid score title`` per result, every line ended by a newline. Scores are
     written in full unless ``decimals`` is given. ``query_file`` is the query with every
-    space replaced by an underscore."""
+    space replaced by an underscore; queries that would share a name (``a b`` and ``a_b``) get
+    a hash of the query behind it."""
     lines = F.transform(
         "results",
         lambda r: F.concat(
@@ -33,9 +34,14 @@ def ranking_text(rankings: DataFrame, decimals: int | None = None) -> DataFrame:
             _score_text(r["score"], decimals), F.lit(" "), r["title"], F.lit("\n"),
         ),
     )
-    return ranking_nested(rankings).select(
+    named = ranking_nested(rankings).withColumn(
+        "query_file", F.replace("original_query", F.lit(" "), F.lit("_"))
+    )
+    shared = F.count(F.lit(1)).over(Window.partitionBy("query_file")) > 1
+    suffix = F.concat(F.lit("_"), F.lower(F.hex(F.xxhash64("original_query"))))
+    return named.select(
         "original_query",
-        F.replace("original_query", F.lit(" "), F.lit("_")).alias("query_file"),
+        F.concat("query_file", F.when(shared, suffix).otherwise("")).alias("query_file"),
         F.concat("original_query", F.lit("\n"), F.array_join(lines, "")).alias("ranking"),
     )
 

@@ -7,7 +7,6 @@ by its size, not by a hint.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,22 +19,15 @@ _BUCKET_BYTES = 128 << 20
 _MIN_BUCKET_BYTES = 16 << 10
 _MAX_BUCKETS = 50_000
 
-_local_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``. Where none is named, a local
-    session gets a temporary folder of its own; a cluster session is refused, as its
-    executors share no local disk."""
+    """The folder the cluster names in ``spark.checkpoint.dir``. Where none is named, a folder
+    below the session's warehouse, which all executors share as well. Never a folder that
+    only one machine sees."""
     folder = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_CHECKPOINT_DIR} to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="quillrank-")
-    return _local_folders[app]
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/quillrank-work"
+    return folder.rstrip("/")
 
 
 def size_in_bytes(rows: DataFrame) -> int:
@@ -65,6 +57,13 @@ class Workspace:
         rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def drop(self, name: str | None = None) -> None:
+        """Delete the files of one table, or of all. Only for tables that nothing reads any
+        more: a result is read from its tables."""
+        folder = self.folder if name is None else f"{self.folder}/{name}"
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def bucketed_table(self, name: str, rows: DataFrame, key: str, size: int) -> DataFrame:
         """Rows placed by hash of ``key``: a later grouping or join on the key (or on the key
         and more) finds them in place and needs no exchange. ``size`` is what the rows take

@@ -10,12 +10,12 @@ from helpers import (
     article, articles_frame, as_lists, assert_same, brute_force, near, queries_frame,
 )
 
-QUERIES = ["bond", "james bond", "on Facebook IPO", "on the", "", "zzzz", "bond", "bond bonds"]
+QUERIES = ["bond", "marta bond", "on Lakeside IPO", "on the", "", "zzzz", "bond", "bond bonds"]
 
 
 def corpus(n=80, seed=3):
     rng = random.Random(seed)
-    words = ("bond bonds james facebook ipo shares market harbour river running the of and "
+    words = ("bond bonds marta lakeside ipo shares market harbour river running the of and "
              "finance financial rises rose town quiet report").split()
 
     def text(low, high):
@@ -52,7 +52,7 @@ def test_against_brute_force(spark, rows, tmp_path, options):
     )
     expected = brute_force(spark, QUERIES, rows, **options)
     assert_same(as_lists(found), expected)
-    assert set(expected) == {"bond", "james bond", "on Facebook IPO", "bond bonds"}
+    assert set(expected) == {"bond", "marta bond", "on Lakeside IPO", "bond bonds"}
     ids = {r.doc_id for r in found.collect()}
     assert "null" not in ids and "sixth" not in ids
 

@@ -22,8 +22,8 @@ LINES = [
     '{"id":"a2","title":null,"contents":null}',
 ]
 
-RANKED = [("james bond", 1, "d1", 4.123456789012345, "Bond, James"),
-          ("james bond", 2, "d2", 5.0, "Café"), ("finance", 1, "d9", float("-inf"), "")]
+RANKED = [("marta bond", 1, "d1", 4.123456789012345, "Bond, Marta"),
+          ("marta bond", 2, "d2", 5.0, "Café"), ("finance", 1, "d9", float("-inf"), "")]
 
 
 @pytest.fixture
@@ -64,19 +64,19 @@ def test_malformed_lines(spark, tmp_path):
 
 def test_queries(spark, tmp_path):
     path = tmp_path / "queries.list"
-    path.write_text("finance\njames bond\non Facebook IPO\nfinance\n")
+    path.write_text("finance\nmarta bond\non Lakeside IPO\nfinance\n")
     parsed = queries.parse_queries(queries.distinct_queries(queries.read_queries(spark, str(path))))
     rows = {r.query_id: r for r in parsed.collect()}
     assert rows["finance"].n_lines == 2 and rows["finance"].query_terms == ["financ"]
-    assert rows["on Facebook IPO"].query_terms == ["facebook", "ipo"]
-    assert rows["james bond"].query_term_counts == [1, 1]
+    assert rows["on Lakeside IPO"].query_terms == ["lakesid", "ipo"]
+    assert rows["marta bond"].query_term_counts == [1, 1]
     assert dict(parsed.dtypes)["query_term_counts"] == "array<smallint>"
 
 
 def test_ranking_text(ranked):
     texts = {r.query_file: r.ranking for r in rankings.ranking_text(ranked).collect()}
     assert texts == {
-        "james_bond": "james bond\n  1:d1 4.123456789012345 Bond, James\n  2:d2 5.0 Café\n",
+        "marta_bond": "marta bond\n  1:d1 4.123456789012345 Bond, Marta\n  2:d2 5.0 Café\n",
         "finance": "finance\n  1:d9 -Infinity \n",
     }
 
@@ -84,11 +84,11 @@ def test_ranking_text(ranked):
 def test_one_file_per_query(spark, ranked, tmp_path):
     out = str(tmp_path / "run")
     rankings.write_ranking_files(ranked, out)
-    files = glob.glob(f"{out}/query_file=james_bond/*.txt")
+    files = glob.glob(f"{out}/query_file=marta_bond/*.txt")
     assert len(files) == 1
     with open(files[0], encoding="utf-8") as file:
         text = file.read()
-    assert text == "james bond\n  1:d1 4.123456789012345 Bond, James\n  2:d2 5.0 Café\n"
+    assert text == "marta bond\n  1:d1 4.123456789012345 Bond, Marta\n  2:d2 5.0 Café\n"
     rankings.write_ranking_table(ranked, str(tmp_path / "table"))
     assert spark.read.parquet(str(tmp_path / "table")).count() == 3
 
@@ -145,3 +145,13 @@ def test_buckets_follow_the_size():
     assert buckets_for(10 << 20, 8000) == 640
     assert buckets_for(300 << 30, 8000) == 8000
     assert buckets_for(3 << 40, 8000) == 24576
+
+
+def test_queries_with_one_file_name_keep_apart(spark):
+    rows = [("a b", 1, "d1", 1.0, "t"), ("a_b", 1, "d2", 2.0, "u"), ("c d", 1, "d3", 3.0, "v")]
+    ranked = spark.createDataFrame(
+        rows, "original_query string, rank int, doc_id string, score double, title string"
+    ).selectExpr("original_query as query_id", "*")
+    files = {r.original_query: r.query_file for r in rankings.ranking_text(ranked).collect()}
+    assert files["c d"] == "c_d" and len(set(files.values())) == 3
+    assert all(name.startswith("a_b_") for query, name in files.items() if query != "c d")
