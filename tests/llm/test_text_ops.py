@@ -287,15 +287,15 @@ def test_samples_collide_as_generalised_jaccard(spark):
     texts = {"a": "x " * 6 + "y y z", "b": "x " * 3 + "y y y w w", "c": "q"}
     frame = spark.createDataFrame(list(texts.items()), "name string, text string")
     signed = {r.name: r for r in cws.signatures(
-        cws.word_terms(frame, ["name"]), ["name"], 100
+        cws.word_terms(frame, ["name"]), ["name"], 48
     ).collect()}
 
     def equal(m, n):
-        return sum(signed[m][f"sig_{i}"] == signed[n][f"sig_{i}"] for i in range(100)) / 100
+        return sum(signed[m][f"sig_{i}"] == signed[n][f"sig_{i}"] for i in range(48)) / 48
 
     p, q = Counter(texts["a"].split()), Counter(texts["b"].split())
     exact = sum((p & q).values()) / sum((p | q).values())
-    assert equal("a", "b") == pytest.approx(exact, abs=0.16) and equal("a", "c") == 0
+    assert equal("a", "b") == pytest.approx(exact, abs=0.22) and equal("a", "c") == 0
 
 
 def test_edited_texts(spark):
