@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,22 +13,40 @@ from pyspark.sql import functions as F
 from quillrank.llm.pieces import MODEL_PATH, SPACE, PieceTable, load_pieces
 
 LONG_WORD = 256       # longer words take the row-wise form of the same search
-SHARE_CHARS = 2_000_000   # about how many characters of text meet in one share
+SHARE_CHARS = 16_000_000   # about how many characters of text meet in one share
 _BYTE_COST = 14.0     # cost of a byte that no piece covers
 
+_LETTER = "A-Za-z\xc0-\u1fff\u3040-\ud7ff"   # blocks of letters; the rest counts as marks
+# Ways to cut a text, finest first: runs of letters or of marks with the spaces before them, single
+# digits; or words with the spaces before them. Java's regular expressions read both alike.
+_CUTS = (
+    rf"\n|[0-9]| *[{_LETTER}]+| *[^ \n0-9{_LETTER}]+| +",
+    r"\n| *[^ \n]+| +",
+)
+
 
 def piece_costs(table: PieceTable) -> dict[str, tuple[int, float]]:
-    """``{piece: (id, cost)}``. A BPE model ranks its pieces (score = minus the rank) and has no
-    probabilities. Zipf's law turns ranks into costs, ln(rank + 2), so the cheapest
+    """``{piece, its marks as spaces: (id, cost)}``. A BPE model ranks its pieces (score = minus the
+    rank) and has no probabilities. Zipf's law turns ranks into costs, ln(rank + 2), so the cheapest
     segmentation is the likeliest under unigrams of that law."""
-    return {p.text: (p.id, float(np.log(2.0 - p.score))) for p in table.pieces}
+    return {
+        p.text.replace(SPACE, " "): (p.id, float(np.log(2.0 - p.score))) for p in table.pieces
+    }
+
+
+def word_pattern(costs: dict[str, tuple[int, float]]) -> str:
+    """The finest cut that runs through no piece: then the best segmentations of the words are
+    together the best of the text. Where a cut falls depends on the two characters beside it
+    alone, so looking at every piece by itself is enough."""
+    for cut in _CUTS:
+        if all(re.fullmatch(cut, piece) for piece in costs):
+            return cut
+    raise ValueError("a piece holds a line feed or a space behind another character")
 
 
-def split_words(text: Column) -> Column:
-    """Words whose best segmentations together are the best of the whole text, as no piece holds a
-    line feed, or a space behind another character: a run of spaces with what follows it, or
-    a line feed. The text starts with one more space, as the model's own texts do."""
-    return F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(r"\n| *[^ \n]+| +"), F.lit(0))
+def split_words(text: Column, pattern: str) -> Column:
+    """The words of a text, which starts with one more space, as the model's own texts do."""
+    return F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(pattern), F.lit(0))
 
 
 def best_pieces(word: str, costs: dict[str, tuple[int, float]], longest: int) -> list[int]:
@@ -38,7 +57,7 @@ def best_pieces(word: str, costs: dict[str, tuple[int, float]], longest: int) ->
     for end in range(1, size + 1):
         for length in range(1, min(longest, end) + 1):
             part = word[end - length:end]
-            found = None if SPACE in part else costs.get(part.replace(" ", SPACE))
+            found = costs.get(part)
             if found is None and length == 1:
                 found = (-1, _BYTE_COST * len(part.encode("utf-8", "surrogatepass")))
             if found is not None and best[end - length] + found[1] < best[end]:
@@ -52,43 +71,36 @@ def best_pieces(word: str, costs: dict[str, tuple[int, float]], longest: int) ->
     return ids[::-1]
 
 
-def _lattice(words: DataFrame, table: PieceTable) -> DataFrame:
-    """``(share, word, ids)`` from distinct ``words(share, word)``; an id below zero is minus
-    one minus a code point that no piece covers.
+def _lattice(words: DataFrame, costs: dict[str, tuple[int, float]]) -> DataFrame:
+    """``(word, ids)`` of the distinct words in ``words(word)``; an id below zero is minus one minus
+    a code point that no piece covers. The pieces of a row spell its word.
 
     The substrings of a word, up to the longest piece, meet the piece table on equal terms.
     What matches are the edges of its lattice; they are grouped by word and folded from left
     to right. The state of the fold is the cost and the pieces of the best way to each position so
     far: edges come by end and size, so an edge concerns the last position or the next.
-    The table is a fixed vocabulary, so it is broadcast. ``words`` are placed by share already, so
+    The table is a fixed vocabulary, so it is broadcast. ``words`` are placed by word already, so
     neither the grouping nor the fold exchanges anything.
     """
-    costs = piece_costs(table)
     longest = max(map(len, costs))
     pieces = words.sparkSession.createDataFrame(
-        [(text, i, cost) for text, (i, cost) in costs.items()],
+        [(piece, i, cost) for piece, (i, cost) in costs.items()],
         "piece string, id int, cost double",
     )
-    starts = words.select(
-        "share", "word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("at")
-    )
-    spans = starts.select("share", "word", "at", F.explode(F.sequence(
-        F.lit(1), F.least(F.lit(longest), F.length("word") - F.col("at") + 1)
-    )).alias("size")).select(
-        "share", "word", (F.col("at") + F.col("size") - 1).alias("end"), "size",
-        F.substring(F.col("word"), F.col("at"), F.col("size")).alias("text"),
-    )
-    # a mark that stands in the text is not a space: only its bytes can stand for it
-    piece = F.when(~F.contains("text", F.lit(SPACE)), F.translate("text", " ", SPACE))
-    matched = spans.withColumn("piece", piece).join(F.broadcast(pieces), "piece", "left").where(
-        "id is not null or size = 1"
+    ends = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("end"))
+    spans = ends.select("word", "end", F.explode(
+        F.sequence(F.lit(1), F.least(F.lit(longest), F.col("end")))
+    ).alias("size")).select(
+        "word", "end", "size",
+        F.substring(F.col("word"), F.col("end") - F.col("size") + 1, F.col("size")).alias("piece"),
     )
+    matched = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or size = 1")
     edges = matched.select(
-        "share", "word",
+        "word",
         F.struct(
             "end", "size",
-            F.coalesce("id", -1 - F.ascii("text")).alias("id"),
-            F.coalesce("cost", F.octet_length("text") * _BYTE_COST).alias("cost"),
+            F.coalesce("id", -1 - F.ascii("piece")).alias("id"),
+            F.coalesce("cost", F.octet_length("piece") * _BYTE_COST).alias("cost"),
         ).alias("edge"),
     )
     nothing = F.array(F.struct(
@@ -106,9 +118,9 @@ def _lattice(words: DataFrame, table: PieceTable) -> DataFrame:
             better, F.concat(F.slice(ways, F.lit(1), edge["end"]), way)
         ).otherwise(ways)
 
-    grouped = edges.groupBy("share", "word").agg(F.collect_list("edge").alias("edges"))
+    grouped = edges.groupBy("word").agg(F.collect_list("edge").alias("edges"))
     ways = F.aggregate(F.array_sort("edges"), nothing, follow)
-    return grouped.select("share", "word", F.element_at(ways, -1)["ids"].alias("ids"))
+    return grouped.select("word", F.element_at(ways, -1)["ids"].alias("ids"))
 
 
 def encode(
@@ -120,27 +132,30 @@ def encode(
 
     A null text has null ids, an empty one the single space piece. Repeated rows get equal
     answers, other columns are not read. Texts are placed once, by hash, in shares
-    of about ``share_chars`` characters. Every distinct word of a share is segmented once, where the share
-    is; then the share's texts are put together from its words (a word of more than LONG_WORD
-    characters is segmented there, by the same search). A share is bounded by ``share_chars`` and its
+    of about ``share_chars`` characters. The distinct words of the shares are placed by word; every
+    distinct word of all texts is segmented once, there, and its pieces go to the shares
+    that hold it: a frequent word is one narrow row per share, whatever its count. Then the
+    texts of a share are put together from its words (a word of more than LONG_WORD characters is
+    segmented there, by the same search). A share is bounded by ``share_chars`` and its
     longest text. The key is a number or a string.
     """
     table = load_pieces(path)
+    costs, byte_ids = piece_costs(table), table.byte_ids
+    longest, pattern = max(map(len, costs)), word_pattern(costs)
     size = docs.agg(F.sum(F.length(text)).alias("n")).first()["n"] or 0
     shares = max(1, -(-size // share_chars))
     # key and text in one array: both readers below then use the same exchange, whole
     placed = docs.select(
         F.array(F.col(key).cast("string"), F.col(text)).alias("row"),
         F.pmod(F.xxhash64(key, text), F.lit(shares)).alias("share"),
-    ).repartition(shares, "share")
-    words = placed.select("share", F.explode(split_words(F.col("row")[1])).alias("word")).distinct()
-    short = _lattice(words.where(F.length("word") <= LONG_WORD), table)
-    costs, byte_ids = piece_costs(table), table.byte_ids
-    longest = max(map(len, costs))
+    ).repartition(2 * shares, "share")   # few shares then meet in one partition
+    words = placed.select(
+        "share", F.explode(split_words(F.col("row")[1], pattern)).alias("word")
+    ).where(F.length("word") <= LONG_WORD).distinct().repartition(2 * shares, "word")
+    short = words.join(_lattice(words.select("word").distinct(), costs), "word")
+    spelling = {i: piece for piece, (i, _) in costs.items()}
 
     def put_together(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        import re
-
         def flat(ids) -> bytes:
             ids = np.asarray(ids, dtype=np.int64)
             if (ids >= 0).all():
@@ -152,13 +167,16 @@ def encode(
             ]
             return np.array([i for part in parts for i in part], dtype="<i4").tobytes()
 
+        def spelled(ids) -> str:
+            return "".join([spelling[i] if i >= 0 else chr(-1 - i) for i in ids.tolist()])
+
         class Words(dict):
             def __missing__(self, word):  # a long one
                 self[word] = flat(best_pieces(word, costs, longest))
                 return self[word]
 
-        of_word = Words(zip(known["word"], map(flat, known["ids"]), strict=True))
-        split = re.compile(r"\n| *[^ \n]+| +").findall
+        of_word = Words((spelled(ids), flat(ids)) for ids in known["ids"])
+        split = re.compile(pattern).findall
         ids = [
             None if value is None
             else np.frombuffer(b"".join([of_word[w] for w in split(" " + value)]), "<i4")
@@ -167,7 +185,7 @@ def encode(
         return pd.DataFrame({"id": [i for i, _ in texts["row"]], "ids": pd.Series(ids, dtype=object)})
 
     kind = dict(docs.dtypes)[key]
-    dictionary = short.select(F.col("share").alias("part"), "word", "ids")
+    dictionary = short.select(F.col("share").alias("part"), "ids")
     joined = placed.groupBy("share").cogroup(dictionary.groupBy("part"))
     return joined.applyInPandas(put_together, "id string, ids array<int>").select(
         F.col("id").cast(kind).alias(key), "ids"
