@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quillrank.llm.pieces import MODEL_PATH, SPACE, PieceTable, load_pieces
 
 LONG_WORD = 256       # longer words take the row-wise form of the same search
-SHARE_CHARS = 16_000_000   # about how many characters of text meet in one share
+SHARE_CHARS = 4_000_000   # about how many characters of text meet in one share
 _BYTE_COST = 14.0     # cost of a byte that no piece covers
 
 _LETTER = "A-Za-z\xc0-\u1fff\u3040-\ud7ff"   # blocks of letters; the rest counts as marks
