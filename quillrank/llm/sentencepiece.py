@@ -2,39 +2,50 @@
 
 from __future__ import annotations
 
+import pickle
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.llm.pieces import MODEL_PATH, SPACE, PieceTable, load_pieces
 
 LONG_WORD = 256       # longer words take the row-wise form of the same search
-SHARE_CHARS = 4_000_000   # about how many characters of text meet in one share
-_BYTE_COST = 14.0     # cost of a byte that no piece covers
+SHARE_CHARS = 32_000_000  # about how many characters of text share one list of words
+_BARE = 1 << 21       # above all ids; code points without a piece are counted from here
+_STEP_WORDS = 2_000_000
+_COST_BITS = 16       # costs are whole numbers of 1 / 2 ** 16, so sums are exact
+_BYTE_COST = 14 << _COST_BITS   # of a byte that no piece covers
 
 _LETTER = "A-Za-z\xc0-\u1fff\u3040-\ud7ff"   # blocks of letters; the rest counts as marks
 # Ways to cut a text, finest first: runs of letters or of marks with the spaces before them, single
-# digits; or words with the spaces before them. Java's regular expressions read both alike.
+# digits; or words with the spaces before them.
 _CUTS = (
     rf"\n|[0-9]| *[{_LETTER}]+| *[^ \n0-9{_LETTER}]+| +",
     r"\n| *[^ \n]+| +",
 )
 
 
-def piece_costs(table: PieceTable) -> dict[str, tuple[int, float]]:
+def piece_costs(table: PieceTable) -> dict[str, tuple[int, int]]:
     """``{piece, its marks as spaces: (id, cost)}``. A BPE model ranks its pieces (score = minus the
     rank) and has no probabilities. Zipf's law turns ranks into costs, ln(rank + 2), so the cheapest
     segmentation is the likeliest under unigrams of that law."""
     return {
-        p.text.replace(SPACE, " "): (p.id, float(np.log(2.0 - p.score))) for p in table.pieces
+        p.text.replace(SPACE, " "): (p.id, round(float(np.log(2.0 - p.score)) * (1 << _COST_BITS)))
+        for p in table.pieces
     }
 
 
-def word_pattern(costs: dict[str, tuple[int, float]]) -> str:
+def word_pattern(costs: dict[str, tuple[int, int]]) -> str:
     """The finest cut that runs through no piece: then the best segmentations of the words are
     together the best of the text. Where a cut falls depends on the two characters beside it
     alone, so looking at every piece by itself is enough."""
@@ -44,16 +55,11 @@ def word_pattern(costs: dict[str, tuple[int, float]]) -> str:
     raise ValueError("a piece holds a line feed or a space behind another character")
 
 
-def split_words(text: Column, pattern: str) -> Column:
-    """The words of a text, which starts with one more space, as the model's own texts do."""
-    return F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(pattern), F.lit(0))
-
-
-def best_pieces(word: str, costs: dict[str, tuple[int, float]], longest: int) -> list[int]:
+def best_pieces(word: str, costs: dict[str, tuple[int, int]], longest: int) -> list[int]:
     """The lattice search for one word, in memory linear in its length, with ids as in
     ``_lattice``. Ties go to the shorter last piece, here and there."""
     size = len(word)
-    best, back = [0.0] + [float("inf")] * size, [(0, -1)] * (size + 1)
+    best, back = [0] + [float("inf")] * size, [(0, -1)] * (size + 1)
     for end in range(1, size + 1):
         for length in range(1, min(longest, end) + 1):
             part = word[end - length:end]
@@ -71,7 +77,7 @@ def best_pieces(word: str, costs: dict[str, tuple[int, float]], longest: int) ->
     return ids[::-1]
 
 
-def _lattice(words: DataFrame, costs: dict[str, tuple[int, float]]) -> DataFrame:
+def _lattice(words: DataFrame, costs: dict[str, tuple[int, int]]) -> DataFrame:
     """``(word, ids)`` of the distinct words in ``words(word)``; an id below zero is minus one minus
     a code point that no piece covers. The pieces of a row spell its word.
 
@@ -80,49 +86,158 @@ def _lattice(words: DataFrame, costs: dict[str, tuple[int, float]]) -> DataFrame
     to right. The state of the fold is the cost and the pieces of the best way to each position so
     far: edges come by end and size, so an edge concerns the last position or the next.
     The table is a fixed vocabulary, so it is broadcast. ``words`` are placed by word already, so
-    neither the grouping nor the fold exchanges anything.
+    neither the grouping nor the fold exchanges anything; as they are sorted, the grouping meets
+    its edges in order. An edge is one number, read from its highest bits: end, size, cost and what it
+    writes, which is the id of a piece or, from ``_BARE`` on, a code point without one.
     """
     longest = max(map(len, costs))
-    pieces = words.sparkSession.createDataFrame(
-        [(piece, i, cost) for piece, (i, cost) in costs.items()],
-        "piece string, id int, cost double",
+    pieces = words.sparkSession.createDataFrame([
+        (piece, (cost << 22) + i) for piece, (i, cost) in costs.items()
+    ], "piece string, says long")
+    ends = words.sortWithinPartitions("word").select(
+        "word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("end")
     )
-    ends = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("end"))
     spans = ends.select("word", "end", F.explode(
         F.sequence(F.lit(1), F.least(F.lit(longest), F.col("end")))
     ).alias("size")).select(
         "word", "end", "size",
         F.substring(F.col("word"), F.col("end") - F.col("size") + 1, F.col("size")).alias("piece"),
     )
-    matched = spans.join(F.broadcast(pieces), "piece", "left").where("id is not null or size = 1")
-    edges = matched.select(
-        "word",
-        F.struct(
-            "end", "size",
-            F.coalesce("id", -1 - F.ascii("piece")).alias("id"),
-            F.coalesce("cost", F.octet_length("piece") * _BYTE_COST).alias("cost"),
-        ).alias("edge"),
-    )
+    matched = spans.join(F.broadcast(pieces), "piece", "left").where("says is not null or size = 1")
+    bare = F.octet_length("piece") * F.lit(_BYTE_COST << 22) + F.ascii("piece") + F.lit(_BARE)
+    edges = matched.select("word", (
+        F.shiftleft(F.col("end").cast("long"), 53) + F.shiftleft(F.col("size").cast("long"), 44)
+        + F.coalesce("says", bare)
+    ).alias("edge"))
     nothing = F.array(F.struct(
-        F.lit(0.0).alias("cost"), F.array().cast("array<int>").alias("ids")
+        F.lit(0).cast("long").alias("cost"), F.array().cast("array<int>").alias("ids")
     ))
 
     def follow(ways: Column, edge: Column) -> Column:
-        before = F.get(ways, edge["end"] - edge["size"])
+        end = F.shiftright(edge, 53).cast("int")
+        before = F.get(ways, end - F.shiftright(edge, 44).bitwiseAND(0x1FF).cast("int"))
+        total = before["cost"] + F.shiftright(edge, 22).bitwiseAND(0x3FFFFF)
+        written = edge.bitwiseAND(0x3FFFFF)
+        piece = F.when(written < _BARE, written).otherwise(_BARE - 1 - written).cast("int")
         way = F.array(F.struct(
-            (before["cost"] + edge["cost"]).alias("cost"),
-            F.concat(before["ids"], F.array(edge["id"])).alias("ids"),
+            total.alias("cost"), F.concat(before["ids"], F.array(piece)).alias("ids"),
         ))
-        better = before["cost"] + edge["cost"] < F.get(ways, edge["end"])["cost"]
-        return F.when(F.size(ways) <= edge["end"], F.concat(ways, way)).when(
-            better, F.concat(F.slice(ways, F.lit(1), edge["end"]), way)
+        return F.when(F.size(ways) <= end, F.concat(ways, way)).when(
+            total < F.get(ways, end)["cost"], F.concat(F.slice(ways, F.lit(1), end), way)
         ).otherwise(ways)
 
     grouped = edges.groupBy("word").agg(F.collect_list("edge").alias("edges"))
-    ways = F.aggregate(F.array_sort("edges"), nothing, follow)
+    ways = F.aggregate(F.sort_array("edges"), nothing, follow)
     return grouped.select("word", F.element_at(ways, -1)["ids"].alias("ids"))
 
 
+def _shares(
+    docs: DataFrame, key: str, text: str, costs: dict[str, tuple[int, int]], share_chars: int
+) -> DataFrame:
+    """``(share, rows)``: consecutive texts of a task, about ``share_chars`` characters together,
+    as one row. The first of ``rows`` is the share's script: keys, words per text (-1: null), the
+    words of all texts as numbers, and the pieces of long words. The others are its distinct
+    words by number. One column holds both, so that all readers use one exchange, whole.
+    A share is named by a hash of what it holds and its place: were a lost task to find its
+    input in another order, its shares would not meet old words, and the job fails."""
+    longest, pattern = max(map(len, costs)), word_pattern(costs)
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words_of = re.compile(pattern).findall
+        task, count = TaskContext.get().partitionId(), 0
+
+        def share() -> pd.DataFrame:
+            words = list(number)
+            long = {
+                i: best_pieces(word, costs, longest)
+                for i, word in enumerate(words) if len(word) > LONG_WORD
+            }
+            numbers = np.concatenate(texts) if texts else np.zeros(0, "<i4")
+            planes = numbers.view(np.uint8).reshape(-1, 4).T.tobytes()
+            script = zstandard.compress(pickle.dumps((keys, sizes, planes, long)))
+            rows = [script, *(b"" if i in long else w.encode() for i, w in enumerate(words))]
+            hashed = xxhash.xxh64(repr((task, count)))
+            for row in rows:
+                hashed.update(row)
+            return pd.DataFrame({
+                "share": np.array([hashed.intdigest()], np.uint64).view(np.int64), "rows": [rows]
+            })
+
+        def fresh():
+            words = defaultdict()
+            words.default_factory = words.__len__
+            return words, [], [], [], 0
+
+        number, keys, sizes, texts, chars = fresh()
+        for batch in batches:
+            for name, value in zip(batch["id"], batch["text"]):
+                keys.append(name)
+                if value is None:
+                    sizes.append(-1)
+                    continue
+                found = words_of(" " + value)
+                sizes.append(len(found))
+                texts.append(np.fromiter(map(number.__getitem__, found), "<i4", len(found)))
+                chars += len(value)
+                if chars >= share_chars:
+                    yield share()
+                    number, keys, sizes, texts, chars = fresh()
+                    count += 1
+        if keys:
+            yield share()
+
+    named = docs.select(F.col(key).cast("string").alias("id"), F.col(text).alias("text"))
+    return named.mapInPandas(split, "share long, rows array<binary>")
+
+
+def _put_together(byte_ids: tuple[int, ...]):
+    """The function that makes ``(id, ids)`` of a share's script and the pieces of its words."""
+
+    def spelled(ids: list[int]) -> list[int]:
+        parts = ([i] if i >= 0 else [byte_ids[b] for b in chr(-1 - i).encode()] for i in ids)
+        return [i for part in parts for i in part]
+
+    def put_together(scripts: pa.Table, known: pa.Table) -> pa.Table:
+        (script,) = scripts["script"].to_pylist()
+        keys, sizes, planes, long = pickle.loads(zstandard.decompress(script))
+        numbers = np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+        at, found = known["at"].to_numpy(), known["ids"].combine_chunks()
+        lengths, flat = pc.list_value_length(found).to_numpy(), found.flatten().to_numpy()
+        starts = np.cumsum(lengths) - lengths
+        others, extra = dict(long), []
+        for row in np.unique(np.repeat(np.arange(len(at)), lengths)[flat < 0]):
+            others[at[row]] = flat[starts[row]:starts[row] + lengths[row]].tolist()
+        n_words = max(numbers.max(initial=-1), at.max(initial=-1)) + 1
+        start, length = np.zeros(n_words, np.int64), np.zeros(n_words, np.int64)
+        start[at], length[at] = starts, lengths
+        end = len(flat)
+        for word, ids in others.items():
+            extra.append(np.array(spelled(ids), flat.dtype))
+            start[word], length[word] = end, len(extra[-1])
+            end += len(extra[-1])
+        flat = np.concatenate([flat, *extra])
+        if not length[numbers].all():
+            raise RuntimeError("a share lacks words: its input came in another order when read again")
+        ends = np.cumsum(np.maximum(sizes, 0))
+        tables, first, taken = [], 0, 0
+        while first < len(keys):    # some million words at a time
+            last = max(first + 1, int(np.searchsorted(ends, taken + _STEP_WORDS, "right")))
+            words = numbers[taken:ends[last - 1]]
+            n = length[words]
+            until = np.cumsum(n)
+            ids = flat[np.repeat(start[words] - until + n, n) + np.arange(n.sum())]
+            bounds = np.concatenate([[0], until])[np.concatenate([[taken], ends[first:last]]) - taken]
+            lists = pa.ListArray.from_arrays(
+                pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()),
+                mask=pa.array([size < 0 for size in sizes[first:last]]),
+            )
+            tables.append(pa.table({"id": pa.array(keys[first:last], pa.string()), "ids": lists}))
+            first, taken = last, ends[last - 1]
+        return pa.concat_tables(tables)
+
+    return put_together
+
+
 def encode(
     docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = MODEL_PATH,
     share_chars: int = SHARE_CHARS,
@@ -131,65 +246,38 @@ def encode(
     the whole text, characters without a piece as byte pieces. Decoding gives the text back.
 
     A null text has null ids, an empty one the single space piece. Repeated rows get equal
-    answers, other columns are not read. Texts are placed once, by hash, in shares
-    of about ``share_chars`` characters. The distinct words of the shares are placed by word; every
-    distinct word of all texts is segmented once, there, and its pieces go to the shares
-    that hold it: a frequent word is one narrow row per share, whatever its count. Then the
-    texts of a share are put together from its words (a word of more than LONG_WORD characters is
-    segmented there, by the same search). A share is bounded by ``share_chars`` and its
-    longest text. The key is a number or a string.
+    answers, other columns are not read. Texts are cut into words where they are read, and
+    numbered in shares of about ``share_chars`` characters (or one longer text); no text is
+    exchanged, a share's words travel as numbers. The distinct words of the shares are placed by
+    word; every distinct word of all texts is segmented once, there, and its pieces go to the shares
+    that hold it: a frequent word is one narrow row per share, whatever its count. A word of more
+    than LONG_WORD characters is segmented in its share, by the same search. The key is a number
+    or a string.
     """
     table = load_pieces(path)
-    costs, byte_ids = piece_costs(table), table.byte_ids
-    longest, pattern = max(map(len, costs)), word_pattern(costs)
-    size = docs.agg(F.sum(F.length(text)).alias("n")).first()["n"] or 0
-    shares = max(1, -(-size // share_chars))
-    # key and text in one array: both readers below then use the same exchange, whole
-    placed = docs.select(
-        F.array(F.col(key).cast("string"), F.col(text)).alias("row"),
-        F.pmod(F.xxhash64(key, text), F.lit(shares)).alias("share"),
-    ).repartition(2 * shares, "share")   # few shares then meet in one partition
-    words = placed.select(
-        "share", F.explode(split_words(F.col("row")[1], pattern)).alias("word")
-    ).where(F.length("word") <= LONG_WORD).distinct().repartition(2 * shares, "word")
-    short = words.join(_lattice(words.select("word").distinct(), costs), "word")
-    spelling = {i: piece for piece, (i, _) in costs.items()}
-
-    def put_together(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        def flat(ids) -> bytes:
-            ids = np.asarray(ids, dtype=np.int64)
-            if (ids >= 0).all():
-                return ids.astype("<i4").tobytes()
-            parts = [
-                [i] if i >= 0 else
-                [byte_ids[b] for b in chr(-1 - i).encode("utf-8", "surrogatepass")]
-                for i in ids.tolist()
-            ]
-            return np.array([i for part in parts for i in part], dtype="<i4").tobytes()
-
-        def spelled(ids) -> str:
-            return "".join([spelling[i] if i >= 0 else chr(-1 - i) for i in ids.tolist()])
-
-        class Words(dict):
-            def __missing__(self, word):  # a long one
-                self[word] = flat(best_pieces(word, costs, longest))
-                return self[word]
-
-        of_word = Words((spelled(ids), flat(ids)) for ids in known["ids"])
-        split = re.compile(pattern).findall
-        ids = [
-            None if value is None
-            else np.frombuffer(b"".join([of_word[w] for w in split(" " + value)]), "<i4")
-            for _, value in texts["row"]
-        ]
-        return pd.DataFrame({"id": [i for i, _ in texts["row"]], "ids": pd.Series(ids, dtype=object)})
-
-    kind = dict(docs.dtypes)[key]
-    dictionary = short.select(F.col("share").alias("part"), "ids")
-    joined = placed.groupBy("share").cogroup(dictionary.groupBy("part"))
-    return joined.applyInPandas(put_together, "id string, ids array<int>").select(
-        F.col("id").cast(kind).alias(key), "ids"
+    costs = piece_costs(table)
+    # named, so that small partitions stay apart: what a lattice needs is many times its words
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = _shares(docs, key, text, costs, share_chars).repartition(parts, "share")
+    # word and place in one array, for one exchange again
+    words = shares.select("share", F.posexplode_outer("rows").alias("at", "word")).where(
+        "at > 0 and word != binary('')"
+    ).select(
+        F.array(F.col("word").cast("string"), F.concat_ws(" ", "share", F.col("at") - 1)).alias("row")
+    ).repartition(parts, F.col("row")[0]).select(
+        F.col("row")[0].alias("word"), F.col("row")[1].alias("place")
     )
+    segmented = _lattice(words.select("word").distinct(), costs)
+    place = F.split("place", " ")
+    known = words.join(segmented.hint("shuffle_hash"), "word").select(
+        place[0].cast("long").alias("part"), place[1].cast("int").alias("at"), "ids"
+    )
+    scripts = shares.select("share", F.col("rows")[0].alias("script"))
+    joined = scripts.groupBy("share").cogroup(known.groupBy("part"))
+    kind = dict(docs.dtypes)[key]
+    return joined.applyInArrow(
+        _put_together(table.byte_ids), "id string, ids array<int>"
+    ).select(F.col("id").cast(kind).alias(key), "ids")
 
 
 def decode(ids: Column, path: str = MODEL_PATH) -> Column:
@@ -203,7 +291,7 @@ def decode(ids: Column, path: str = MODEL_PATH) -> Column:
         for series in batches:
             yield pd.Series([
                 None if value is None
-                else b"".join(map(of_id.__getitem__, value)).decode("utf-8", "replace")[1:]
+                else b"".join(map(of_id.__getitem__, value.tolist())).decode("utf-8", "replace")[1:]
                 for value in series
             ], dtype=object)
 
