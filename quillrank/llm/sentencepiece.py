@@ -83,16 +83,18 @@ def _lattice(words: DataFrame, costs: dict[str, tuple[int, int]]) -> DataFrame:
 
     The substrings of a word, up to the longest piece, meet the piece table on equal terms.
     What matches are the edges of its lattice; they are grouped by word and folded from left
-    to right. The state of the fold is the cost and the pieces of the best way to each position so
-    far: edges come by end and size, so an edge concerns the last position or the next.
+    to right. The state of the fold is the best way to each position so far, its cost and last
+    piece: edges come by end, so an edge concerns the last position or the next. A second fold walks
+    back from the end and spells the pieces.
     The table is a fixed vocabulary, so it is broadcast. ``words`` are placed by word already, so
     neither the grouping nor the fold exchanges anything; as they are sorted, the grouping meets
-    its edges in order. An edge is one number, read from its highest bits: end, size, cost and what it
-    writes, which is the id of a piece or, from ``_BARE`` on, a code point without one.
+    its edges in order. An edge is one number, read from its highest bits: end (10), cost (22), size (9) and
+    what it writes (22), which is the id of a piece or, from ``_BARE`` on, a code point without one. A
+    way is the same with its whole cost in front, so the smaller number is the better way.
     """
     longest = max(map(len, costs))
     pieces = words.sparkSession.createDataFrame([
-        (piece, (cost << 22) + i) for piece, (i, cost) in costs.items()
+        (piece, (cost << 31) + i) for piece, (i, cost) in costs.items()
     ], "piece string, says long")
     ends = words.sortWithinPartitions("word").select(
         "word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("end")
@@ -104,31 +106,38 @@ def _lattice(words: DataFrame, costs: dict[str, tuple[int, int]]) -> DataFrame:
         F.substring(F.col("word"), F.col("end") - F.col("size") + 1, F.col("size")).alias("piece"),
     )
     matched = spans.join(F.broadcast(pieces), "piece", "left").where("says is not null or size = 1")
-    bare = F.octet_length("piece") * F.lit(_BYTE_COST << 22) + F.ascii("piece") + F.lit(_BARE)
+    bare = F.octet_length("piece") * F.lit(_BYTE_COST << 31) + F.ascii("piece") + F.lit(_BARE)
     edges = matched.select("word", (
-        F.shiftleft(F.col("end").cast("long"), 53) + F.shiftleft(F.col("size").cast("long"), 44)
+        F.shiftleft(F.col("end").cast("long"), 53) + F.shiftleft(F.col("size").cast("long"), 22)
         + F.coalesce("says", bare)
     ).alias("edge"))
-    nothing = F.array(F.struct(
-        F.lit(0).cast("long").alias("cost"), F.array().cast("array<int>").alias("ids")
-    ))
+    def size(way: Column) -> Column:
+        return F.shiftright(way, 22).bitwiseAND(0x1FF).cast("int")
 
     def follow(ways: Column, edge: Column) -> Column:
         end = F.shiftright(edge, 53).cast("int")
-        before = F.get(ways, end - F.shiftright(edge, 44).bitwiseAND(0x1FF).cast("int"))
-        total = before["cost"] + F.shiftright(edge, 22).bitwiseAND(0x3FFFFF)
-        written = edge.bitwiseAND(0x3FFFFF)
-        piece = F.when(written < _BARE, written).otherwise(_BARE - 1 - written).cast("int")
-        way = F.array(F.struct(
-            total.alias("cost"), F.concat(before["ids"], F.array(piece)).alias("ids"),
-        ))
-        return F.when(F.size(ways) <= end, F.concat(ways, way)).when(
-            total < F.get(ways, end)["cost"], F.concat(F.slice(ways, F.lit(1), end), way)
+        cost_before = F.get(ways, end - size(edge)).bitwiseAND(-1 << 31)
+        way = cost_before + edge.bitwiseAND((1 << 53) - 1)
+        return F.when(F.size(ways) <= end, F.concat(ways, F.array(way))).when(
+            way < F.get(ways, end), F.concat(F.slice(ways, F.lit(1), end), F.array(way))
         ).otherwise(ways)
 
+    def walk_back(state: Column, end: Column) -> Column:
+        way = F.get(F.col("ways"), end)
+        written = way.bitwiseAND(0x3FFFFF)
+        piece = F.when(written < _BARE, written).otherwise(_BARE - 1 - written).cast("int")
+        return F.when(state["at"] == end, F.struct(
+            (end - size(way)).alias("at"), F.concat(F.array(piece), state["ids"]).alias("ids")
+        )).otherwise(state)
+
     grouped = edges.groupBy("word").agg(F.collect_list("edge").alias("edges"))
-    ways = F.aggregate(F.sort_array("edges"), nothing, follow)
-    return grouped.select("word", F.element_at(ways, -1)["ids"].alias("ids"))
+    folded = grouped.select("word", F.aggregate(
+        F.sort_array("edges"), F.array(F.lit(0).cast("long")), follow
+    ).alias("ways"))
+    length = F.length("word")
+    last = F.struct(length.alias("at"), F.array().cast("array<int>").alias("ids"))
+    ids = F.aggregate(F.sequence(length, F.lit(1), F.lit(-1)), last, walk_back)["ids"]
+    return folded.select("word", ids.alias("ids"))
 
 
 def _shares(
