@@ -22,7 +22,7 @@ from quillrank.llm.pieces import MODEL_PATH, SPACE, PieceTable, load_pieces
 LONG_WORD = 256       # longer words take the row-wise form of the same search
 SHARE_CHARS = 32_000_000  # about how many characters of text share one list of words
 _BARE = 1 << 21       # above all ids; code points without a piece are counted from here
-_STEP_WORDS = 2_000_000
+_STEP_WORDS = 250_000     # words of a share that become pieces at a time
 _COST_BITS = 16       # costs are whole numbers of 1 / 2 ** 16, so sums are exact
 _BYTE_COST = 14 << _COST_BITS   # of a byte that no piece covers
 
@@ -162,8 +162,7 @@ def _shares(
                 for i, word in enumerate(words) if len(word) > LONG_WORD
             }
             numbers = np.concatenate(texts) if texts else np.zeros(0, "<i4")
-            planes = numbers.view(np.uint8).reshape(-1, 4).T.tobytes()
-            script = zstandard.compress(pickle.dumps((keys, sizes, planes, long)))
+            script = zstandard.compress(pickle.dumps((keys, sizes, _planes(numbers), long)))
             rows = [script, *(b"" if i in long else w.encode() for i, w in enumerate(words))]
             hashed = xxhash.xxh64(repr((task, count)))
             for row in rows:
@@ -199,6 +198,46 @@ def _shares(
     return named.mapInPandas(split, "share long, rows array<binary>")
 
 
+def _places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions ``start .. start + length`` of all rows, one after the other."""
+    until = np.cumsum(lengths)
+    return np.repeat(starts - until + lengths, lengths) + np.arange(until[-1] if len(until) else 0)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Byte by byte, lowest first, as that compresses better."""
+    return np.ascontiguousarray(numbers, "<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+
+
+def _packed(known: DataFrame) -> DataFrame:
+    """``(part, words)`` of ``known(part, at, ids)``: the rows of a batch, by part, as one packed row
+    each, so that little is exchanged."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, at = batch["part"].to_numpy(), batch["at"].to_numpy()
+            lengths = pc.list_value_length(batch["ids"]).to_numpy()
+            flat = batch["ids"].flatten().to_numpy()
+            starts = np.cumsum(lengths) - lengths
+            parts, blobs = np.unique(part), []
+            for one in parts:
+                rows = np.flatnonzero(part == one)
+                rows = rows[np.argsort(at[rows])]
+                ids = flat[_places(starts[rows], lengths[rows])]
+                blobs.append(zstandard.compress(pickle.dumps((
+                    _planes(np.diff(at[rows], prepend=0)), _planes(lengths[rows]), _planes(ids)
+                ))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(parts, pa.int64()), pa.array(blobs, pa.binary())], ["part", "words"]
+            )
+
+    return known.mapInArrow(pack, "part long, words binary")
+
+
 def _put_together(byte_ids: tuple[int, ...]):
     """The function that makes ``(id, ids)`` of a share's script and the pieces of its words."""
 
@@ -209,9 +248,15 @@ def _put_together(byte_ids: tuple[int, ...]):
     def put_together(scripts: pa.Table, known: pa.Table) -> pa.Table:
         (script,) = scripts["script"].to_pylist()
         keys, sizes, planes, long = pickle.loads(zstandard.decompress(script))
-        numbers = np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
-        at, found = known["at"].to_numpy(), known["ids"].combine_chunks()
-        lengths, flat = pc.list_value_length(found).to_numpy(), found.flatten().to_numpy()
+        numbers = _numbers(planes)
+        blocks = [
+            [_numbers(part) for part in pickle.loads(zstandard.decompress(block))]
+            for block in known["words"].to_pylist()
+        ]
+        none = [np.zeros(0, "<i4")]
+        at = np.concatenate([np.cumsum(block[0]) for block in blocks] or none)
+        lengths = np.concatenate([block[1] for block in blocks] or none)
+        flat = np.concatenate([block[2] for block in blocks] or none)
         starts = np.cumsum(lengths) - lengths
         others, extra = dict(long), []
         for row in np.unique(np.repeat(np.arange(len(at)), lengths)[flat < 0]):
@@ -234,7 +279,7 @@ def _put_together(byte_ids: tuple[int, ...]):
             words = numbers[taken:ends[last - 1]]
             n = length[words]
             until = np.cumsum(n)
-            ids = flat[np.repeat(start[words] - until + n, n) + np.arange(n.sum())]
+            ids = flat[_places(start[words], n)]
             bounds = np.concatenate([[0], until])[np.concatenate([[taken], ends[first:last]]) - taken]
             lists = pa.ListArray.from_arrays(
                 pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()),
@@ -259,7 +304,7 @@ def encode(
     numbered in shares of about ``share_chars`` characters (or one longer text); no text is
     exchanged, a share's words travel as numbers. The distinct words of the shares are placed by
     word; every distinct word of all texts is segmented once, there, and its pieces go to the shares
-    that hold it: a frequent word is one narrow row per share, whatever its count. A word of more
+    that hold it, packed: a frequent word is one narrow row per share, whatever its count. A word of more
     than LONG_WORD characters is segmented in its share, by the same search. The key is a number
     or a string.
     """
@@ -282,7 +327,7 @@ def encode(
         place[0].cast("long").alias("part"), place[1].cast("int").alias("at"), "ids"
     )
     scripts = shares.select("share", F.col("rows")[0].alias("script"))
-    joined = scripts.groupBy("share").cogroup(known.groupBy("part"))
+    joined = scripts.groupBy("share").cogroup(_packed(known).groupBy("part"))
     kind = dict(docs.dtypes)[key]
     return joined.applyInArrow(
         _put_together(table.byte_ids), "id string, ids array<int>"
