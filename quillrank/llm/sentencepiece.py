@@ -8,7 +8,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -23,6 +22,7 @@ LONG_WORD = 256       # longer words take the row-wise form of the same search
 SHARE_CHARS = 32_000_000  # about how many characters of text share one list of words
 _BARE = 1 << 21       # above all ids; code points without a piece are counted from here
 _STEP_WORDS = 250_000     # words of a share that become pieces at a time
+_SLICE = 200
 _COST_BITS = 16       # costs are whole numbers of 1 / 2 ** 16, so sums are exact
 _BYTE_COST = 14 << _COST_BITS   # of a byte that no piece covers
 
@@ -140,6 +140,13 @@ def _lattice(words: DataFrame, costs: dict[str, tuple[int, int]]) -> DataFrame:
     return folded.select("word", ids.alias("ids"))
 
 
+def _slices(batches):
+    """Few rows at a time, so that few texts are Python objects at once."""
+    for batch in batches:
+        for first in range(0, len(batch), _SLICE):
+            yield batch.slice(first, _SLICE)
+
+
 def _shares(
     docs: DataFrame, key: str, text: str, costs: dict[str, tuple[int, int]], share_chars: int
 ) -> DataFrame:
@@ -151,11 +158,11 @@ def _shares(
     input in another order, its shares would not meet old words, and the job fails."""
     longest, pattern = max(map(len, costs)), word_pattern(costs)
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words_of = re.compile(pattern).findall
         task, count = TaskContext.get().partitionId(), 0
 
-        def share() -> pd.DataFrame:
+        def share() -> pa.RecordBatch:
             words = list(number)
             long = {
                 i: best_pieces(word, costs, longest)
@@ -167,9 +174,10 @@ def _shares(
             hashed = xxhash.xxh64(repr((task, count)))
             for row in rows:
                 hashed.update(row)
-            return pd.DataFrame({
-                "share": np.array([hashed.intdigest()], np.uint64).view(np.int64), "rows": [rows]
-            })
+            name = np.array([hashed.intdigest()], np.uint64).view(np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(name), pa.array([rows], pa.list_(pa.binary()))], ["share", "rows"]
+            )
 
         def fresh():
             words = defaultdict()
@@ -177,8 +185,8 @@ def _shares(
             return words, [], [], [], 0
 
         number, keys, sizes, texts, chars = fresh()
-        for batch in batches:
-            for name, value in zip(batch["id"], batch["text"]):
+        for batch in _slices(batches):
+            for name, value in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
                 keys.append(name)
                 if value is None:
                     sizes.append(-1)
@@ -195,7 +203,7 @@ def _shares(
             yield share()
 
     named = docs.select(F.col(key).cast("string").alias("id"), F.col(text).alias("text"))
-    return named.mapInPandas(split, "share long, rows array<binary>")
+    return named.mapInArrow(split, "share long, rows array<binary>")
 
 
 def _places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -340,13 +348,16 @@ def decode(ids: Column, path: str = MODEL_PATH) -> Column:
     of_id = {p.id: p.text.replace(SPACE, " ").encode() for p in model.pieces}
     of_id |= {i: bytes([b]) for b, i in enumerate(model.byte_ids)}
 
-    @F.pandas_udf("string")
-    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for series in batches:
-            yield pd.Series([
-                None if value is None
-                else b"".join(map(of_id.__getitem__, value.tolist())).decode("utf-8", "replace")[1:]
-                for value in series
-            ], dtype=object)
+    def text(ids: list[int] | None) -> str | None:
+        return ids if ids is None else b"".join(map(of_id.__getitem__, ids)).decode(
+            "utf-8", "replace"
+        )[1:]
+
+    @F.arrow_udf("string")
+    def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.concat_arrays([
+                pa.array(map(text, part.to_pylist()), pa.string()) for part in _slices([batch])
+            ] or [pa.array([], pa.string())])
 
     return udf(ids)
