@@ -348,16 +348,21 @@ def decode(ids: Column, path: str = MODEL_PATH) -> Column:
     of_id = {p.id: p.text.replace(SPACE, " ").encode() for p in model.pieces}
     of_id |= {i: bytes([b]) for b, i in enumerate(model.byte_ids)}
 
-    def text(ids: list[int] | None) -> str | None:
-        return ids if ids is None else b"".join(map(of_id.__getitem__, ids)).decode(
-            "utf-8", "replace"
-        )[1:]
+    def texts(part: pa.ListArray) -> Iterator[str | None]:
+        spelled = [of_id[i] for i in part.flatten().to_numpy().tolist()]
+        first = 0
+        for n in pc.list_value_length(part).to_pylist():
+            if n is None:
+                yield None
+            else:
+                yield b"".join(spelled[first:first + n]).decode("utf-8", "replace")[1:]
+                first += n
 
     @F.arrow_udf("string")
     def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.concat_arrays([
-                pa.array(map(text, part.to_pylist()), pa.string()) for part in _slices([batch])
+                pa.array(texts(part), pa.string()) for part in _slices([batch])
             ] or [pa.array([], pa.string())])
 
     return udf(ids)
