@@ -21,24 +21,32 @@ _SEGMENT_BITS = 64 // _SEGMENTS
 _BLOCK = 1 << 17  # shingles whose bits are counted at once
 
 
-def text_fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
-    """Unsigned fingerprint: a bit is set if it is set in more than half of the shingle hashes.
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """XXH64 of every run of ``width`` words; a shorter text is one run, one without words none.
 
     bytes.lower() and bytes.split() act on A-Z and on ASCII white space alone, which is what
-    the contract asks. A text without words has the fingerprint zero.
+    the contract asks.
     """
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.empty(0, dtype=np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(word) + 1 for word in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     last = ends[width - 1:].tolist() if len(words) >= width else [len(joined)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array(
+    return np.array(
         [digest(joined[a:b], HASH_SEED) for a, b in zip(starts.tolist(), last, strict=False)],
         dtype=np.uint64,
     )
+
+
+def text_fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
+    """Unsigned fingerprint: a bit is set if it is set in more than half of the shingle hashes.
+    A text without words has the fingerprint zero."""
+    hashes = shingle_hashes(text, width)
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), _BLOCK):
         octets = hashes[at:at + _BLOCK].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -124,7 +132,13 @@ def groups(rows: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     rows with a null key belong to a group and never name it (a group of null keys alone has a
     null name)."""
     prints = scratch.table("prints", rows.groupBy("fp").agg(F.min(key).alias("least")))
-    linked = components(links(prints.select("fp")), scratch)
+    return name_groups(prints, links(prints.select("fp")), scratch)
+
+
+def name_groups(prints: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(fp, component)`` for ``prints(fp, least)``: the smallest ``least`` reachable over
+    ``found(a, b)``."""
+    linked = components(found, scratch)
     linked = linked.join(prints.withColumnRenamed("fp", "node"), "node")
     first = linked.groupBy("root").agg(F.min("least").alias("first"))
     named = scratch.table("named", linked.join(first, "root").select("node", "first"))
@@ -168,7 +182,12 @@ def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         docs.select(F.struct("*").alias("row"), F.col(key).alias("member"),
                     fingerprint(F.col(text)).alias("fp"), mark.alias("mark")),
     )
-    named = groups(rows.select("member", "fp"), "member", scratch)
+    return one_of_each(rows, groups(rows.select("member", "fp"), "member", scratch))
+
+
+def one_of_each(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """The ``row`` column of ``rows(row, member, fp, mark)``, one row per component of
+    ``named(fp, component)``."""
     chosen = (
         rows.select("member", "fp", "mark").join(named, "fp")
         .where(F.col("member").eqNullSafe(F.col("component")))
