@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillrank.llm.shared import Scratch
 
-SAMPLES = 16
+SAMPLES = 64
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 _UNIT = 1.0 / (1 << 26)
 _LOW = (1 << 32) - 1

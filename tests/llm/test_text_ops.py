@@ -287,15 +287,25 @@ def test_samples_collide_as_generalised_jaccard(spark):
     texts = {"a": "x " * 6 + "y y z", "b": "x " * 3 + "y y y w w", "c": "q"}
     frame = spark.createDataFrame(list(texts.items()), "name string, text string")
     signed = {r.name: r for r in cws.signatures(
-        cws.word_terms(frame, ["name"]), ["name"], 48
+        cws.word_terms(frame, ["name"]), ["name"], 100
     ).collect()}
 
     def equal(m, n):
-        return sum(signed[m][f"sig_{i}"] == signed[n][f"sig_{i}"] for i in range(48)) / 48
+        return sum(signed[m][f"sig_{i}"] == signed[n][f"sig_{i}"] for i in range(100)) / 100
 
     p, q = Counter(texts["a"].split()), Counter(texts["b"].split())
     exact = sum((p & q).values()) / sum((p | q).values())
-    assert equal("a", "b") == pytest.approx(exact, abs=0.22) and equal("a", "c") == 0
+    assert equal("a", "b") == pytest.approx(exact, abs=0.16) and equal("a", "c") == 0
+
+
+def test_likeness_at_the_production_number_of_samples(spark):
+    texts = [f"{' '.join(f'w{i}' for i in range(80))} {' '.join(f'{side}{i}' for i in range(20))}"
+             for side in "ab"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = cws.fingerprint_edits(docs, ranges=1).collect()
+    assert {len(r.fingerprint) for r in rows} == {8 * 64} and cws.SAMPLES == 64
+    # 80 of 120 words are shared; three standard errors of 64 samples are 0.177
+    assert all(abs(r.near_next - 80 / 120) <= 0.177 for r in rows)
 
 
 def test_edited_texts(spark):
