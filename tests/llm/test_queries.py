@@ -29,7 +29,7 @@ def test_same_rows_as_sql(spark, name):
 def test_every_operator_has_one_query():
     names = list(registry.queries())
     assert names[-1] == "pipeline"
-    assert [name.split("_")[0] for name in names[:-1]] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in names[:-1]] == [f"op{n}" for n in range(1, 14)]
 
 
 def test_pipeline_stages(spark):
