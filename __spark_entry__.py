@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import duck_oracle  # noqa: E402
@@ -18,7 +18,9 @@ from quillrank.functions.text import content_tokens, tokenise  # noqa: E402
 from quillrank.functions.titles import near_title, title_distance  # noqa: E402
 from quillrank.operators import documents as docs  # noqa: E402
 from quillrank.operators import matching, ranking, scoring, stats  # noqa: E402
-from quillrank.plans.rank import match_documents, rank_documents  # noqa: E402
+from quillrank.plans import job  # noqa: E402
+from quillrank.plans.rank import PLACE, match_documents, rank_documents, search  # noqa: E402
+from quillrank.schema import CONTENT_FIELDS  # noqa: E402
 from quillrank.sources import articles as art  # noqa: E402
 from quillrank.sources import queries as qry  # noqa: E402
 from quillrank.sources import rankings as out  # noqa: E402
@@ -53,28 +55,42 @@ def _new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/check-{uuid.uuid4().hex}/{name}"
 
 
-def _matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Counted query terms per document and the postings of the query list, as tables."""
-    space = Workspace(spark)
-    parsed = qry.parse_queries(qry.distinct_queries(_query_list(spark)))
-    postings = space.table("postings", matching.query_postings(parsed))
-    return match_documents(space, postings, _articles(spark, sf_dir)), postings
+def _matched(spark: SparkSession, sf_dir: str, build: Callable[..., DataFrame]) -> DataFrame:
+    """What ``build`` makes of the counted query terms per document and the postings of the query
+    list; their tables are gone when it is returned."""
+    with Workspace(spark) as space:
+        parsed = qry.parse_queries(qry.distinct_queries(_query_list(spark)))
+        postings = space.table("postings", matching.query_postings(parsed))
+        matches = match_documents(space, postings, _articles(spark, sf_dir))
+        return space.result(build(matches, postings))
 
 
-def _scores(spark: SparkSession, sf_dir: str, keys=("row_id", "doc_id")) -> DataFrame:
-    matches, postings = _matches(spark, sf_dir)
-    return scoring.document_scores(matches, stats.scoring_terms(matches, postings), keys=keys)
+def _scored(spark: SparkSession, sf_dir: str, build: Callable[..., DataFrame]) -> DataFrame:
+    """The same with the scores beside."""
+    def scores(matches: DataFrame, postings: DataFrame) -> DataFrame:
+        terms = stats.scoring_terms(matches, postings)
+        keys = (*PLACE, "row_id", "doc_id")
+        return build(scoring.document_scores(matches, terms, keys=keys), matches)
 
+    return _matched(spark, sf_dir, scores)
 
-def _rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rank_documents(_query_list(spark), _articles(spark, sf_dir))
 
+def _rankings(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return rank_documents(_query_list(spark), _articles(spark, sf_dir), **options)
 
-def _finite(name: str) -> Column:
-    """Rounded for the comparison; minus infinity, which not every comparison takes, is null
-    on both sides."""
-    value = F.col(name)
-    return F.when(value > float("-inf"), F.round(value, 6)).alias(name)
+
+def _rank() -> Column:
+    return F.col("rank").cast("long").alias("rank")
+
+
+def _finite(name: str) -> list[Column]:
+    """Rounded for the comparison; minus infinity, which not every comparison takes, is null and
+    has a column that says so."""
+    value, none = F.col(name), F.lit(float("-inf"))
+    return [
+        F.when(value > none, F.round(value, 6)).alias(name),
+        (value == none).alias(f"{name}_unbounded"),
+    ]
 
 
 def _item_text(items: Column) -> Column:
@@ -185,15 +201,19 @@ def corpus_stats(spark, sf_dir):
 
 
 def query_doc_match(spark, sf_dir):
-    return matching.query_doc_match(*_matches(spark, sf_dir))
+    return _matched(spark, sf_dir, matching.query_doc_match)
 
 
 def term_freq(spark, sf_dir):
-    return matching.term_freq(*_matches(spark, sf_dir)).select("query_id", "doc_id", "term", "tf")
+    return _matched(spark, sf_dir, lambda matches, postings: matching.term_freq(
+        matches, postings
+    ).select("query_id", "doc_id", "term", "tf"))
 
 
 def term_freq_map(spark, sf_dir):
-    maps = matching.term_freq_map(matching.term_freq(*_matches(spark, sf_dir)))
+    maps = _matched(spark, sf_dir, lambda matches, postings: matching.term_freq_map(
+        matching.term_freq(matches, postings)
+    ))
     pairs = F.transform(
         F.map_entries("term_freq"), lambda e: F.concat_ws("=", e["key"], e["value"])
     )
@@ -201,50 +221,53 @@ def term_freq_map(spark, sf_dir):
 
 
 def corpus_term_freq(spark, sf_dir):
-    matches, postings = _matches(spark, sf_dir)
-    per_query = stats.corpus_term_freq(matches, postings, "per_query")
-    corpus = stats.corpus_term_freq(matches, postings, "corpus")
-    return per_query.withColumnRenamed("cf", "cf_per_query").join(
-        corpus.withColumnRenamed("cf", "cf_corpus"), "term"
-    )
+    def both(matches, postings):
+        per_query = stats.corpus_term_freq(matches, postings, "per_query")
+        corpus = stats.corpus_term_freq(matches, postings, "corpus")
+        return per_query.withColumnRenamed("cf", "cf_per_query").join(
+            corpus.withColumnRenamed("cf", "cf_corpus"), "term"
+        )
+
+    return _matched(spark, sf_dir, both)
 
 
 def candidates(spark, sf_dir):
-    return matching.candidates(*_matches(spark, sf_dir))
+    return _matched(spark, sf_dir, matching.candidates)
 
 
 def term_stats_join(spark, sf_dir):
-    matches, postings = _matches(spark, sf_dir)
-    return stats.term_stats(
+    return _matched(spark, sf_dir, lambda matches, postings: stats.term_stats(
         matching.candidates(matches, postings), stats.corpus_term_freq(matches, postings)
-    )
+    ))
 
 
 def dph_term_score(spark, sf_dir):
-    matches, postings = _matches(spark, sf_dir)
-    return scoring.term_scores(matches, stats.scoring_terms(matches, postings)).select(
-        "query_id", "doc_id", "term", "tf", _finite("dph")
-    )
+    return _matched(spark, sf_dir, lambda matches, postings: scoring.term_scores(
+        matches, stats.scoring_terms(matches, postings)
+    ).select("query_id", "doc_id", "term", "tf", *_finite("dph")))
 
 
 def dph_scores(spark, sf_dir):
-    return _scores(spark, sf_dir).select("query_id", "doc_id", _finite("score"))
+    return _scored(spark, sf_dir, lambda scores, _: scores.select(
+        "query_id", "doc_id", *_finite("score")
+    ))
 
 
 def rank_in_query(spark, sf_dir):
-    return ranking.rank_in_query(_scores(spark, sf_dir)).select(
-        "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", _finite("score")
-    )
+    return _scored(spark, sf_dir, lambda scores, _: ranking.rank_in_query(scores).select(
+        "query_id", _rank(), "doc_id", *_finite("score")
+    ))
 
 
 def topk_before_dedup(spark, sf_dir):
-    matches, postings = _matches(spark, sf_dir)
-    terms = stats.scoring_terms(matches, postings)
-    scores = scoring.document_scores(matches, terms, keys=("row_id", "doc_id"))
-    top = ranking.top_ranked(scores, 10).join(matches.select("row_id", "title"), "row_id")
-    return top.select(
-        "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", _finite("score"), "title"
-    )
+    def top(scores, matches):
+        first = ranking.top_ranked(scores, 10, spread_by="row_id")
+        titles = matches.select(*PLACE, "row_id", "title")
+        return first.join(titles, [*PLACE, "row_id"]).select(
+            "query_id", _rank(), "doc_id", *_finite("score"), "title"
+        )
+
+    return _scored(spark, sf_dir, top)
 
 
 def title_distance_query(spark, sf_dir):
@@ -258,38 +281,140 @@ def title_distance_query(spark, sf_dir):
     )
 
 
+def ranked_title_distance(spark, sf_dir):
+    """How far apart the titles of any two results (at most ten) of a query are."""
+    rows = _rankings(spark, sf_dir).select("query_id", _rank(), "title")
+    other = rows.select(
+        "query_id", F.col("rank").alias("other_rank"), F.col("title").alias("other")
+    )
+    return rows.join(other, "query_id").where("rank < other_rank").select(
+        "query_id", "rank", "other_rank",
+        F.round(title_distance(F.col("title"), F.col("other")), 6).alias("distance"),
+    )
+
+
 def near_title_pairs(spark, sf_dir):
     """For every candidate, the kept results (at most ten) whose titles rule it out."""
-    kept = _rankings(spark, sf_dir).select(
-        "query_id", F.col("doc_id").alias("kept_doc_id"), F.col("title").alias("kept_title")
-    )
-    scored = _scores(spark, sf_dir, keys=("row_id", "doc_id", "title"))
-    return scored.join(kept, "query_id").where(
-        (F.col("doc_id") != F.col("kept_doc_id"))
-        & near_title(F.col("title"), F.col("kept_title"))
-    ).select("query_id", "doc_id", "kept_doc_id")
+    with Workspace(spark) as space:
+        found = search(space, _query_list(spark), _articles(spark, sf_dir), fold_copies=False)
+        kept = found.select(
+            "original_query", F.col("doc_id").alias("kept_doc_id"),
+            F.col("title").alias("kept_title"),
+        )
+        scored = scoring.document_scores(
+            space.tables["matches"], space.tables["terms"], keys=(*PLACE, "row_id", "doc_id", "title")
+        ).join(space.tables["queries"].select("query_id", "original_query"), "query_id")
+        return space.result(scored.join(kept, "original_query").where(
+            (F.col("doc_id") != F.col("kept_doc_id"))
+            & near_title(F.col("title"), F.col("kept_title"))
+        ).select(F.col("original_query").alias("query_id"), "doc_id", "kept_doc_id"))
 
 
 def dedup_topk(spark, sf_dir):
-    return _rankings(spark, sf_dir).select(
-        "query_id", F.col("rank").cast("long").alias("rank"), "doc_id"
-    )
+    return _rankings(spark, sf_dir).select("query_id", _rank(), "doc_id")
+
+
+def _ranked_columns(rankings: DataFrame) -> DataFrame:
+    return rankings.select("query_id", _rank(), "doc_id", *_finite("score"), "title")
 
 
 def rank_documents_query(spark, sf_dir):
     return _rankings(spark, sf_dir).select(
-        "query_id", "original_query", F.col("rank").cast("long").alias("rank"), "doc_id",
-        _finite("score"), "title",
+        "query_id", "original_query", _rank(), "doc_id", *_finite("score"), "title"
     )
 
 
 def rank_benchmark(spark, sf_dir):
-    found = rank_documents(
+    return _ranked_columns(rank_documents(
         _benchmark_queries(spark, sf_dir), _articles(spark, sf_dir),
         cf_mode="corpus", ratio="exact",
+    ))
+
+
+def rank_deep(spark, sf_dir):
+    """Windows of two rows, so that most of every walk is done in later rounds."""
+    return _ranked_columns(_rankings(spark, sf_dir, window=2))
+
+
+def rank_many_queries(spark, sf_dir):
+    """The first line of every document is a query."""
+    lines = _articles(spark, sf_dir).select(F.col("title").alias("original_query"))
+    return _ranked_columns(rank_documents(
+        lines, _articles(spark, sf_dir), cf_mode="corpus", ratio="exact", k=3
+    ))
+
+
+def rank_untitled(spark, sf_dir):
+    """Articles whose first line is short have no title: they count and are never returned."""
+    short = F.length("title") < duck_oracle.SHORT_TITLE
+    articles = _articles(spark, sf_dir).withColumn(
+        "title", F.when(~short, F.col("title"))
     )
-    return found.select(
-        "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", _finite("score"), "title"
+    return _ranked_columns(rank_documents(_query_list(spark), articles))
+
+
+def rank_job(spark, sf_dir):
+    """The batch job from files to files, read back; some article lines are broken off."""
+    folder = _new_path(spark, "job")
+    _query_list(spark).write.text(f"{folder}/queries")
+    _article_lines(spark, sf_dir).write.text(f"{folder}/articles")
+    job.run(spark, job.arguments([
+        "--queries", f"{folder}/queries", "--articles", f"{folder}/articles",
+        "--quarantine", f"{folder}/corrupt", "--work-dir", f"{folder}/work",
+        "--format", "parquet", "--out", f"{folder}/rankings",
+    ]))
+    return _ranked_columns(spark.read.parquet(f"{folder}/rankings"))
+
+
+def _article_lines(spark, sf_dir) -> DataFrame:
+    """Articles as JSON lines; that of an article with a short title lacks its end."""
+    line = F.to_json(F.struct("*"))
+    short = F.length("title") < duck_oracle.SHORT_TITLE
+    return _articles(spark, sf_dir).select(
+        F.when(short, F.left(line, F.length(line) - 1)).otherwise(line).alias("value")
+    )
+
+
+def article_quarantine(spark, sf_dir):
+    """Which lines are articles and which are corrupt, told by the id that every line begins with."""
+    path = _new_path(spark, "articles")
+    _article_lines(spark, sf_dir).write.text(path)
+    good, corrupt = art.checked_articles(spark, path)
+    in_files = F.sum("n_lines").over(Window.partitionBy(F.lit(0)))
+    total = art.corrupt_counts(corrupt).select(in_files.alias("n_corrupt")).limit(1)
+    return good.select(
+        F.col("id").alias("doc_id"), F.lit("article").alias("kind"), "title"
+    ).unionByName(corrupt.select(
+        F.regexp_extract("line", '"id":"([^"]*)"', 1).alias("doc_id"),
+        F.lit("corrupt").alias("kind"), F.lit(None).cast("string").alias("title"),
+    )).join(F.broadcast(total))
+
+
+def article_fields(spark, sf_dir):
+    """Articles with every field filled, written as JSON lines and read again."""
+    path = _new_path(spark, "articles.jsonl")
+    facts = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        F.col("doc_id").cast("string").alias("id"), "lang", "n_chars"
+    )
+    named = _articles(spark, sf_dir).join(facts, "id")
+    filled = {
+        name: F.concat(F.lit(f"{name} of "), F.col("id"))
+        for name in CONTENT_FIELDS if name not in ("content", "subtype")
+    }
+    items = F.transform("contents", lambda item: F.struct(*[
+        filled.get(name, item[name]).alias(name) for name in CONTENT_FIELDS
+    ]))
+    art.write_articles(named.select(
+        "id", F.concat(F.lit("http://site/"), F.col("id")).alias("article_url"), "title",
+        F.col("lang").alias("author"), (F.col("n_chars") * 1000).alias("published_date"),
+        items.alias("contents"), F.lit("article").alias("type"), "source",
+    ), path)
+    told = F.transform("contents", lambda item: F.concat_ws(
+        "|", *[F.coalesce(item[name], F.lit("-")) for name in CONTENT_FIELDS]
+    ))
+    return art.read_articles(spark, path).select(
+        "id", "article_url", "title", "author", "published_date", "type", "source",
+        F.array_join(told, "\n").alias("items"),
     )
 
 
@@ -345,6 +470,8 @@ def _ranking_queries() -> dict[str, Query]:
         "query_parse": query_parse,
         "src_articles": src_articles,
         "article_parse": article_parse,
+        "article_fields": article_fields,
+        "article_quarantine": article_quarantine,
         "paragraph_filter": paragraph_filter,
         "first_paragraphs": first_paragraphs,
         "body_text": body_text,
@@ -365,10 +492,15 @@ def _ranking_queries() -> dict[str, Query]:
         "rank_in_query": rank_in_query,
         "topk_before_dedup": topk_before_dedup,
         "title_distance": title_distance_query,
+        "ranked_title_distance": ranked_title_distance,
         "near_title_pairs": near_title_pairs,
         "dedup_topk": dedup_topk,
         "rank_documents": rank_documents_query,
         "rank_benchmark": rank_benchmark,
+        "rank_deep": rank_deep,
+        "rank_many_queries": rank_many_queries,
+        "rank_untitled": rank_untitled,
+        "rank_job": rank_job,
         "ranking_nested": ranking_nested,
         "ranking_text": ranking_text,
         "ranking_files": ranking_files,

@@ -25,6 +25,9 @@ once here there when where why how all any both each few more most other some su
 only own same so than too very s t can will just don should now cannot could ought would
 """.split()
 
+# Fixed value: first lines shorter than this are no titles in some checks.
+SHORT_TITLE = 60
+
 _CONSONANTS = "[^aeiou][^aeiouy]*"
 _VOWELS = "[aeiouy][aeiou]*"
 _M1_UP = f"^({_CONSONANTS})?{_VOWELS}{_CONSONANTS}"
@@ -249,8 +252,23 @@ def _sql(select: str, **overrides: str) -> str:
     return f"WITH RECURSIVE {parts}\n{select}"
 
 
-_SCORE = "CASE WHEN isinf(score) THEN NULL ELSE round(score, 6) END AS score"
-_DPH = "CASE WHEN isinf(dph) THEN NULL ELSE round(dph, 6) END AS dph"
+_SCORE = (
+    "CASE WHEN isinf(score) THEN NULL ELSE round(score, 6) END AS score, "
+    "isinf(score) AS score_unbounded"
+)
+_DPH = (
+    "CASE WHEN isinf(dph) THEN NULL ELSE round(dph, 6) END AS dph, isinf(dph) AS dph_unbounded"
+)
+_RANKED = f"SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, {_SCORE}, title FROM rankings"
+# The fields of an item of an article, in order.
+_ITEM_FIELDS = (
+    "content subtype type mime fullcaption imageURL imageHeight imageWidth blurb role name bio "
+    "kicker"
+).split()
+_ITEM = " || '|' || ".join(
+    {"content": "x", "subtype": "CASE WHEN trim(x) <> '' THEN 'paragraph' ELSE '-' END"}.get(
+        name, f"'{name} of ' || doc_id") for name in _ITEM_FIELDS
+)
 _ARTICLE_COLUMNS = (
     "SELECT doc_id AS id, title, source, CAST(len(items) AS BIGINT) AS n_items, "
     "array_to_string(items, chr(10)) AS items_text FROM articles"
@@ -326,6 +344,13 @@ def oracle_sql() -> dict[str, str]:
             "SELECT doc_id, coalesce(translate(title, chars, marks), title) AS a, "
             "coalesce(translate(coalesce(paragraphs[1], ''), chars, marks), "
             "coalesce(paragraphs[1], '')) AS b FROM bodies CROSS JOIN wide)"),
+        "ranked_title_distance": _sql(
+            "SELECT a.query_id, a.rank, b.rank AS other_rank, "
+            "round(CAST(levenshtein(s.narrow, t.narrow) AS DOUBLE) "
+            "/ nullif(greatest(length(s.narrow), length(t.narrow)), 0), 6) AS distance "
+            "FROM kept a JOIN kept b ON a.query_id = b.query_id AND a.rank < b.rank "
+            "JOIN narrow_titles s ON s.doc_id = a.doc_id "
+            "JOIN narrow_titles t ON t.doc_id = b.doc_id"),
         "near_title_pairs": _sql(
             "SELECT l.query_id, l.doc_id, k.doc_id AS kept_doc_id FROM line_up l "
             "JOIN kept k ON k.query_id = l.query_id AND k.doc_id <> l.doc_id "
@@ -336,9 +361,27 @@ def oracle_sql() -> dict[str, str]:
         "rank_documents": _sql(
             "SELECT query_id, query_id AS original_query, CAST(rank AS BIGINT) AS rank, doc_id, "
             f"{_SCORE}, title FROM rankings"),
-        "rank_benchmark": _sql(
-            "SELECT query_id, CAST(rank AS BIGINT) AS rank, doc_id, "
-            f"{_SCORE}, title FROM rankings", **_EXACT),
+        "rank_benchmark": _sql(_RANKED, **_EXACT),
+        "rank_deep": _sql(_RANKED),
+        "rank_many_queries": _sql(_RANKED, **_EXACT | {
+            "query_lines": "SELECT string_split(text, chr(10))[1] AS original_query FROM documents",
+            "walk": _CTES["walk"].replace("len(w.kept) < 10", "len(w.kept) < 3")}),
+        "rank_untitled": _sql(_RANKED, articles=_CTES["articles"].replace(
+            "lines[1] AS title",
+            f"CASE WHEN length(lines[1]) >= {SHORT_TITLE} THEN lines[1] END AS title")),
+        "rank_job": _sql(_RANKED, articles=_CTES["articles"] + (
+            f" WHERE length(lines[1]) >= {SHORT_TITLE}")),
+        "article_fields": _sql(
+            "SELECT a.doc_id AS id, 'http://site/' || a.doc_id AS article_url, title, "
+            "lang AS author, n_chars * 1000 AS published_date, 'article' AS type, a.source, "
+            "items FROM (SELECT doc_id, source, title, array_to_string(list_transform(items, "
+            f"lambda x: {_ITEM}), chr(10)) AS items FROM articles) a "
+            "JOIN documents d ON a.doc_id = CAST(d.doc_id AS VARCHAR)"),
+        "article_quarantine": _sql(
+            "SELECT doc_id, CASE WHEN short THEN 'corrupt' ELSE 'article' END AS kind, "
+            "CASE WHEN NOT short THEN title END AS title, "
+            "CAST(count_if(short) OVER () AS BIGINT) AS n_corrupt "
+            f"FROM (SELECT *, length(title) < {SHORT_TITLE} AS short FROM articles)"),
         "ranking_nested": _sql(
             "SELECT query_id, count(*) AS n_results, string_agg(doc_id, ' ' ORDER BY rank) "
             "AS doc_ids, string_agg(title, chr(10) ORDER BY rank) AS titles "

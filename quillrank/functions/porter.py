@@ -146,32 +146,38 @@ def stem_word(word: Column) -> Column:
 # back, an ``i`` for ``y``, the ``l`` of ``bl``. So a stem, without its last letter in those
 # cases, is a prefix of its words. And every cut but the plural one asks for a vowel in what
 # is left, so a stem without vowels is the word or its plural.
-_MAX_PREFIX = 5
-
-
-def _sure_prefix(stem: str) -> str:
-    sure = stem[:-1] if stem.endswith(("e", "i", "bl")) else stem
-    return (sure or stem)[:_MAX_PREFIX]
-
-
-def may_stem_to(stems: Iterable[str]) -> str:
-    """Condition over ``x``, necessary for the stem of ``x`` to be one of ``stems``: the word
-    starts like one of them. Cheap, and it leaves few words to stem."""
-    words: set[str] = set()
-    by_length: dict[int, set[str]] = {}
-    for stem in stems:
-        if set(stem) & set("aeiouy"):
-            prefix = _sure_prefix(stem)
-            by_length.setdefault(len(prefix), set()).add(prefix)
-        else:
-            words.update((stem, stem + "s", stem + "es"))
-    tests = [is_one_of(f"left(x, {n})", sorted(by_length[n])) for n in sorted(by_length)]
-    if words:
-        tests.append(is_one_of("x", sorted(words)))
-    if not tests:
-        return "false"
-    # Most words already differ from all of them in the first two letters.
-    starts = words.union(*by_length.values())
-    n = min(2, min(map(len, starts)))
-    first = is_one_of(f"left(x, {n})", sorted({start[:n] for start in starts}))
-    return f"{first} AND ({' OR '.join(tests)})"
+_PREFIX = 5  # letters of a prefix that are looked at
+
+
+def signs_of_stem(stem: Column) -> Column:
+    """``array<struct<kind, word>>``: what ``may_stem`` asks for, for the words of one stem. ``start``: the
+    first letters of its words; ``word``: all of its words; ``two``: the first two letters of either;
+    ``stem``: itself."""
+    cut = F.when(stem.rlike("(?:e|i|bl)$") & (F.length(stem) > 1), F.expr("1")).otherwise(0)
+    start = F.left(F.substring(stem, F.lit(1), F.length(stem) - cut), F.lit(_PREFIX))
+    plain = [stem, F.concat(stem, F.lit("s")), F.concat(stem, F.lit("es"))]
+
+    def sign(kind: str, word: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), word.alias("word"))
+
+    of_start = F.array(sign("start", start), sign("two", F.left(start, F.lit(2))))
+    of_words = F.array(
+        *[sign("word", word) for word in plain],
+        *[sign("two", F.left(word, F.lit(2))) for word in plain],
+    )
+    return F.concat(
+        F.array(sign("stem", stem)),
+        F.when(stem.rlike("[aeiouy]"), of_start).otherwise(of_words),
+    )
+
+
+def may_stem(word: Column, has: Callable[[str, Column], Column]) -> Column:
+    """Necessary for the stem of ``word`` to be one of those whose signs ``has(kind, word)`` knows.
+    Cheap: most words already differ from all of them in the first two letters."""
+    def starts(n: int) -> Column:
+        return has("start", F.left(word, F.lit(n)))
+
+    longer = has("word", word)
+    for n in range(2, _PREFIX + 1):
+        longer = longer | starts(n)
+    return starts(1) | (has("two", F.left(word, F.lit(2))) & longer)

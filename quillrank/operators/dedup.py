@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.functions.titles import near_title
-from quillrank.operators.ranking import SCORE_DIGITS, top_ranked
+from quillrank.operators.ranking import PARTS, SCORE_DIGITS, part_of, top_ranked
 from quillrank.schema import MIN_TITLE_DISTANCE, TOP_K
 
 ITEM = "struct<row_id:bigint,doc_id:string,score:double,title:string>"
@@ -101,31 +101,46 @@ def stretch_bounds(scores: DataFrame, size: int = WINDOW) -> DataFrame:
     )
 
 
+def _replicated(per_query: DataFrame) -> DataFrame:
+    """A row per query, once for each part its ranking is joined in."""
+    return per_query.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+
+
 def survivors(
-    scores: DataFrame, open_queries: DataFrame, min_distance: float = MIN_TITLE_DISTANCE
+    scores: DataFrame,
+    open_queries: DataFrame,
+    with_titles: Callable[[DataFrame], DataFrame],
+    min_distance: float = MIN_TITLE_DISTANCE,
 ) -> DataFrame:
-    """The scored, titled rows of open queries, down to the bound of their stretch, that
-    nothing kept so far rules out. Rows of earlier windows were kept, or are close to a kept
-    title, so they are out as well."""
-    state = open_queries.select(
+    """The scored rows of open queries, down to the bound of their stretch, that nothing kept
+    so far rules out, with their titles. Rows of earlier windows were kept, or are close to a kept
+    title, so they are out as well.
+
+    Where the state of the queries is too large to be broadcast, a row meets it by query and part
+    of the ranking, so that the stretch of one hot query is looked at in ``PARTS`` tasks. Titles are fetched
+    for the stretch alone, and the kept titles join after that.
+    """
+    state = _replicated(open_queries.select(
         "query_id", "kept", F.get("bounds", F.col("stretch")).alias("bound")
+    ))
+    parts = scores.withColumn("part", part_of(F.col("row_id")))
+    stretch = (
+        parts.join(state.drop("kept"), ["query_id", "part"])
+        # rounded as in the ranking, so that a stretch is a whole number of places in it
+        .where(F.round("score", SCORE_DIGITS) >= F.round("bound", SCORE_DIGITS))
+        .drop("bound")
     )
     ruled_out = F.exists("kept", lambda d: d["row_id"] == F.col("row_id")) | _close_to_any(
         F.col("kept"), F.col("title"), min_distance
     )
-    return (
-        scores.join(state, "query_id")
-        # rounded as in the ranking, so that a stretch is a whole number of places in it
-        .where(F.round("score", SCORE_DIGITS) >= F.round("bound", SCORE_DIGITS))
-        .where(~ruled_out)
-        .drop("kept", "bound")
-    )
+    titled = with_titles(stretch).join(state.drop("bound"), ["query_id", "part"])
+    return titled.where(~ruled_out).drop("kept", "part")
 
 
 def distinct_top(
     scores: DataFrame,
     with_titles: Callable[[DataFrame], DataFrame],
-    titled_scores: Callable[[DataFrame], DataFrame],
+    scores_of: Callable[[DataFrame], DataFrame],
     save: Callable[[str, DataFrame], DataFrame],
     k: int = TOP_K,
     min_distance: float = MIN_TITLE_DISTANCE,
@@ -133,26 +148,28 @@ def distinct_top(
 ) -> DataFrame:
     """``(query_id, kept)`` for every query with a candidate.
 
-    ``scores`` are ``(query_id, row_id, doc_id, score)``; ``with_titles`` fetches the titles
-    of few rows; ``titled_scores`` gives the scores of some queries, with titles, for the
+    ``scores`` are ``(query_id, row_id, doc_id, score)`` and what ``with_titles`` needs to fetch the titles
+    of some rows; ``scores_of`` gives the scores of some queries, for the
     rare further rounds; ``save`` writes a small table and reads it back.
     """
+    def cut(rows: DataFrame) -> DataFrame:
+        return top_ranked(rows, size, TIE_BREAK, spread_by="row_id")
+
     full, seen_all = F.size("kept") >= k, F.col("seen") < size
-    window = with_titles(top_ranked(scores, size, TIE_BREAK))
-    first = save("kept_1", fold_window(window, None, k, min_distance))
+    first = save("kept_1", fold_window(with_titles(cut(scores)), None, k, min_distance))
     closed = [first.where(full | seen_all).select("query_id", "kept")]
     open_queries = first.where(~(full | seen_all))
     left_open = not open_queries.isEmpty()
     if left_open:
-        bounds = stretch_bounds(titled_scores(open_queries), size)
+        bounds = stretch_bounds(scores_of(open_queries), size)
         open_queries = save(
             "bounds", open_queries.join(bounds, "query_id").withColumn("stretch", F.lit(0))
         )
     round_no = 1
     while left_open:
         round_no += 1
-        left = survivors(titled_scores(open_queries), open_queries, min_distance)
-        folded = fold_window(top_ranked(left, size, TIE_BREAK), open_queries, k, min_distance)
+        left = survivors(scores_of(open_queries), open_queries, with_titles, min_distance)
+        folded = fold_window(cut(left), open_queries, k, min_distance)
         places = open_queries.select("query_id", "bounds", "stretch")
         # A stretch that gave less than a full window is used up.
         state = folded.join(places, "query_id").withColumn(

@@ -7,9 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.functions.porter import may_stem_to, stem_words
-from quillrank.functions.sqltext import is_one_of, keep_items
+from quillrank.functions.porter import stem_words
 from quillrank.functions.text import STOPWORDS, TOKEN_PATTERN, content_tokens, count_runs
+from quillrank.operators.sieve import TermSieve
 from quillrank.schema import MAX_PARAGRAPHS, PARAGRAPH
 
 
@@ -63,25 +63,31 @@ def document_length(articles: DataFrame, **options) -> DataFrame:
 
 
 def document_matches(
-    articles: DataFrame, wanted: list[str] | None = None, **options
+    articles: DataFrame, sieve: TermSieve | None = None, **options
 ) -> DataFrame:
     """``(doc_id, title, dl, matches)``, ``matches`` being ``array<struct<term, tf>>``.
 
-    ``wanted`` are the terms worth counting. Most tokens cannot stem to one of them and are
-    dropped by their first letters, before stemming. Without ``wanted``, every term counts.
+    With a ``sieve``, tokens that cannot stem to one of its terms are dropped before stemming,
+    and most other terms after it; what is left besides the terms of the sieve does no harm, as
+    terms are selected by a join. Without one, every term is there. Tokens are sorted and counted in the
+    row first, so that a word is stemmed once per article, however often it stands there.
     """
-    tokens = document_tokens(articles, **options)
-    if wanted is None:
-        hits = stem_words(F.col("tokens"))
-    elif wanted:
-        hits = stem_words(keep_items(F.col("tokens"), may_stem_to(wanted)))
-        hits = keep_items(hits, is_one_of("x", wanted))
-    else:
-        hits = F.array().cast("array<string>")
-    counted = tokens.select(
+    tokens = F.col("tokens")
+    words = F.filter(tokens, sieve.may_stem_to_term) if sieve else tokens
+    counted = document_tokens(articles, **options).select(
         "doc_id",
         "title",
         F.size("tokens").cast("long").alias("dl"),
-        F.sort_array(hits).alias("hits"),
+        F.sort_array(words).alias("words"),
+    ).select("doc_id", "title", "dl", count_runs(F.col("words")).alias("counts"))
+    stems = stem_words(F.transform("counts", lambda c: c["term"]))
+    stemmed = F.zip_with(stems, "counts", lambda stem, c: F.struct(
+        stem.alias("term"), c["tf"].cast("int").alias("tf")
+    ))
+    if sieve:
+        stemmed = F.filter(stemmed, lambda s: sieve.may_be_term(s["term"]))
+    # equal stems of different words meet by sorting again
+    hits = F.flatten(F.transform(stemmed, lambda s: F.array_repeat(s["term"], s["tf"])))
+    return counted.select("doc_id", "title", "dl", F.sort_array(hits).alias("hits")).select(
+        "doc_id", "title", "dl", count_runs(F.col("hits")).alias("matches")
     )
-    return counted.select("doc_id", "title", "dl", count_runs(F.col("hits")).alias("matches"))

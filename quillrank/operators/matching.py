@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many distinct query terms (about a megabyte) are written into the plan as a hash
-# set, for a second or two of planning; a larger query set is matched by join alone.
-MAX_WANTED = 50_000
-
 
 def query_postings(parsed: DataFrame) -> DataFrame:
     """``(query_id, term, n_terms, n_lines)``, one row per distinct term of a query;
@@ -22,13 +18,6 @@ def query_postings(parsed: DataFrame) -> DataFrame:
     ).select("query_id", "term", "n_terms", "n_lines")
 
 
-def wanted_terms(postings: DataFrame, limit: int = MAX_WANTED) -> list[str] | None:
-    """The distinct terms of all queries, or ``None`` when there are more than ``limit``: at
-    most ``limit + 1`` short strings reach the driver."""
-    rows = postings.select("term").distinct().limit(limit + 1).collect()
-    return sorted(row.term for row in rows) if len(rows) <= limit else None
-
-
 def document_postings(matches: DataFrame) -> DataFrame:
     """``document_matches`` with one row per document and term: every column but ``matches``,
     then ``term, tf``.

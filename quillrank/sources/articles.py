@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillrank.schema import ARTICLE, PARAGRAPH
-from quillrank.sources.workspace import size_in_bytes
 
 # What ranking reads of an article. A JSON reader prunes whole columns but not the fields
 # inside an array of structs, so the narrow form is a read schema of its own.
@@ -20,8 +19,6 @@ RANKING_FIELDS = T.StructType([
     ]))),
 ])
 
-_SMALL_INPUT = 1 << 30
-
 
 def read_articles(
     spark: SparkSession,
@@ -45,6 +42,29 @@ def parse_articles(lines: DataFrame, column: str = "value", mode: str = "FAILFAS
     return lines.select(parsed.alias("article")).select("article.*")
 
 
+def checked_articles(
+    spark: SparkSession, path: str, schema: T.StructType = ARTICLE
+) -> tuple[DataFrame, DataFrame]:
+    """``(articles, corrupt)`` from JSON lines: every line that can be read as an article of ``schema``, and ``(file,
+    line)`` of every line that is no JSON or has a field of another type. Blank lines are neither."""
+    corrupt = "_corrupt_line"
+    wide = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    lines = spark.read.text(path).where(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("value").alias("line"),
+        F.from_json("value", wide, options).alias("article"),
+    )
+    fields = [F.col("article")[name].alias(name) for name in schema.names]
+    good = lines.where(F.col("article")[corrupt].isNull()).select(*fields)
+    return good, lines.where(F.col("article")[corrupt].isNotNull()).select("file", "line")
+
+
+def corrupt_counts(corrupt: DataFrame) -> DataFrame:
+    """``(file, n_lines)``: how many corrupt lines a file has."""
+    return corrupt.groupBy("file").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def write_articles(articles: DataFrame, path: str) -> None:
     """Articles as JSON lines, null fields left out."""
     articles.write.json(path)
@@ -78,9 +98,8 @@ def articles_from_documents(documents: DataFrame) -> DataFrame:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """Rows of a small table, over all cores. A file with one row group is one scan task
-    however many cores wait for it. The exchange is added only below 1 GiB (by the size
-    Catalyst knows from the files); a large table has row groups enough and is left alone."""
-    if size_in_bytes(rows) >= _SMALL_INPUT:
-        return rows
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    """Rows over all cores, where the scan has fewer tasks than there are cores: a file with one
+    row group is one task however many cores wait for it. A table with tasks enough is left alone."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = rows._jdf.queryExecution().toRdd().getNumPartitions()
+    return rows.repartition(cores) if tasks < cores else rows

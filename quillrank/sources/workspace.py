@@ -13,13 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# A bucket holds about this many bytes of Parquet; small tables get smaller buckets, down to
-# the lower bound, as long as that gives idle cores something to do.
-_BUCKET_BYTES = 128 << 20
-_MIN_BUCKET_BYTES = 16 << 10
-_MAX_BUCKETS = 50_000
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``. Where none is named, a folder
     below the session's warehouse, which all executors share as well. Never a folder that
@@ -30,58 +23,73 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def size_in_bytes(rows: DataFrame) -> int:
-    """What Catalyst knows of the size: for a table on files, the size of the files."""
-    return int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
+class Workspace:
+    """The tables of one run, deleted with their catalog entries when the run is closed:
 
-def buckets_for(size: int, cores: int) -> int:
-    """As many buckets as the size asks for, and enough for all cores if that is not silly."""
-    by_size = -(-size // _BUCKET_BYTES)
-    for_cores = min(cores, size // _MIN_BUCKET_BYTES)
-    return max(1, min(max(by_size, for_cores), _MAX_BUCKETS))
+        with Workspace(spark) as space:
+            ...
+            return space.result(rows)
 
-
-class Workspace:
-    """The tables of one run. They stay on disk after the run, like checkpoint files do: the
-    result of a run is read from them."""
+    A result is written to a folder of its own and outlives the run; whoever asked for it deletes
+    it when it has been used.
+    """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.run = f"quillrank_{uuid.uuid4().hex}"
-        self.folder = f"{(folder or shared_folder(spark)).rstrip('/')}/{self.run}"
+        self.shared = (folder or shared_folder(spark)).rstrip("/")
+        self.folder = f"{self.shared}/{self.run}"
+        self.tables: dict[str, DataFrame] = {}
         self._bucketed: list[str] = []
 
-    def table(self, name: str, rows: DataFrame) -> DataFrame:
-        path = f"{self.folder}/{name}"
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *raised) -> None:
+        self.close()
+
+    def _write(self, path: str, rows: DataFrame) -> DataFrame:
         rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
-    def drop(self, name: str | None = None) -> None:
-        """Delete the files of one table, or of all. Only for tables that nothing reads any
-        more: a result is read from its tables."""
-        folder = self.folder if name is None else f"{self.folder}/{name}"
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-    def bucketed_table(self, name: str, rows: DataFrame, key: str, size: int) -> DataFrame:
-        """Rows placed by hash of ``key``: a later grouping or join on the key (or on the key
-        and more) finds them in place and needs no exchange. ``size`` is what the rows take
-        on disk, or a bound of it."""
-        buckets = buckets_for(size, self.spark.sparkContext.defaultParallelism)
+    def table(self, name: str, rows: DataFrame) -> DataFrame:
+        self.tables[name] = self._write(f"{self.folder}/{name}", rows)
+        return self.tables[name]
+
+    def result(self, rows: DataFrame) -> DataFrame:
+        """Rows that stay when the run is closed."""
+        return self._write(f"{self.shared}/quillrank_result_{uuid.uuid4().hex}", rows)
+
+    def bucketed_table(self, name: str, rows: DataFrame, keys: list[str]) -> DataFrame:
+        """Rows placed by hash of ``keys``: a later grouping or join on the keys (or on them
+        and more) finds them in place and needs no exchange. There are as many buckets as
+        the session has shuffle partitions; rows that an aggregate by ``keys`` has just placed are
+        written where they are."""
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         identifier = f"{self.run}_{name}"
         (
-            rows.repartition(buckets, key)
-            .write.format("parquet")
-            .bucketBy(buckets, key)
+            rows.write.format("parquet")
+            .bucketBy(buckets, *keys)
             .option("path", f"{self.folder}/{name}")
             .saveAsTable(identifier)
         )
         self._bucketed.append(identifier)
-        return self.spark.table(identifier)
+        self.tables[name] = self.spark.table(identifier)
+        return self.tables[name]
+
+    def drop(self, name: str) -> None:
+        """Delete the files of one table that nothing reads any more."""
+        self._delete(f"{self.folder}/{name}")
+        del self.tables[name]
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def close(self) -> None:
-        """Forget the catalog entries of bucketed tables. The files stay."""
+        """Delete every table of the run, files and catalog entries."""
         for identifier in self._bucketed:
             self.spark.sql(f"DROP TABLE IF EXISTS {identifier}")
         self._bucketed.clear()
+        self.tables.clear()
+        self._delete(self.folder)

@@ -24,7 +24,9 @@ def run(spark, rows, folder, k=10, size=200, min_distance=0.5):
     kept = distinct_top(
         table.drop("title"),
         lambda top: top.join(table.select("row_id", "title"), "row_id"),
-        lambda open_queries: table.join(open_queries.select("query_id"), "query_id", "left_semi"),
+        lambda open_queries: table.drop("title").join(
+            open_queries.select("query_id"), "query_id", "left_semi"
+        ),
         save, k, min_distance, size,
     )
     found = {}

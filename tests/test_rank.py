@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
 
 from quillrank import rank_documents
+from quillrank.plans.rank import search
+from quillrank.sources.workspace import Workspace
 
 from helpers import (
     article, articles_frame, as_lists, assert_same, brute_force, near, queries_frame,
@@ -82,14 +85,35 @@ def test_partitioning_and_window_do_not_matter(spark, rows, tmp_path):
         assert rounded == expected
 
 
-def test_a_large_query_set_takes_the_join_path(spark, rows, tmp_path, monkeypatch):
-    monkeypatch.setattr("quillrank.plans.rank.wanted_terms", lambda postings: None)
+def test_a_full_sieve_changes_nothing(spark, rows, tmp_path, monkeypatch):
+    """With more query terms than the sieve has places, every word passes it."""
+    monkeypatch.setattr("quillrank.operators.sieve.SLOTS", 1)
     found = rank_documents(
         queries_frame(spark, QUERIES), articles_frame(spark, rows), work_dir=str(tmp_path)
     )
     assert_same(as_lists(found), brute_force(spark, QUERIES, rows))
 
 
+def test_as_many_queries_as_articles(spark, rows, tmp_path):
+    lines = [" ".join(c[0] for c in contents if c and c[0])[:60] for _, _, contents in rows]
+    options = {"cf_mode": "corpus", "ratio": "exact", "k": 4}
+    found = rank_documents(
+        queries_frame(spark, lines), articles_frame(spark, rows), work_dir=str(tmp_path), **options
+    )
+    assert_same(as_lists(found), brute_force(spark, lines, rows, **options))
+
+
+def test_later_rounds_and_nothing_left_behind(spark, rows, tmp_path):
+    with Workspace(spark, str(tmp_path)) as space:
+        found = as_lists(search(
+            space, queries_frame(spark, QUERIES), articles_frame(spark, rows), window=2
+        ))
+        rounds = [name for name in space.tables if name.startswith("kept_")]
+        assert len(rounds) >= 3 and "found" not in space.tables
+    assert_same(found, brute_force(spark, QUERIES, rows))
+    assert os.listdir(tmp_path) == []
+
+
 def test_nothing_broadcast_gives_the_same(spark, rows, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from quillrank.plans import job
 from quillrank.schema import ARTICLE, CONTENT_FIELDS
 from quillrank.sources import articles, queries, rankings
-from quillrank.sources.workspace import Workspace, buckets_for, shared_folder
+from quillrank.sources.workspace import Workspace, shared_folder
 
 from helpers import queries_frame
 
@@ -127,24 +128,64 @@ def test_documents_as_articles(spark):
 
 
 def test_workspace(spark, tmp_path):
-    space = Workspace(spark, str(tmp_path))
-    table = space.table("q", queries_frame(spark, ["a", "b"]))
-    assert table.count() == 2
-    bucketed = space.bucketed_table("b", spark.range(10), "id", 1 << 20)
-    grouped = bucketed.groupBy("id").count()
-    assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
-    space.close()
-    assert bucketed.count() == 10
+    with Workspace(spark, str(tmp_path)) as space:
+        table = space.table("q", queries_frame(spark, ["a", "b"]))
+        assert table.count() == 2
+        rows = spark.range(10).groupBy("id").count()
+        bucketed = space.bucketed_table("b", rows, ["id"])
+        grouped = bucketed.groupBy("id").count()
+        assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+        assert set(space.tables) == {"q", "b"}
+        result = space.result(bucketed.where("id < 4"))
+    assert result.count() == 4 and space.tables == {}
     assert not [t for t in spark.catalog.listTables() if t.name.startswith(space.run)]
+    assert [name[:17] for name in os.listdir(tmp_path)] == ["quillrank_result_"]
     assert shared_folder(spark)
 
 
-def test_buckets_follow_the_size():
-    assert buckets_for(1_000, 8) == 1
-    assert buckets_for(10 << 20, 8) == 8
-    assert buckets_for(10 << 20, 8000) == 640
-    assert buckets_for(300 << 30, 8000) == 8000
-    assert buckets_for(3 << 40, 8000) == 24576
+def test_workspace_is_cleared_after_an_error(spark, tmp_path):
+    with pytest.raises(ZeroDivisionError), Workspace(spark, str(tmp_path)) as space:
+        space.table("q", queries_frame(spark, ["a"]))
+        space.bucketed_table("b", spark.range(3).toDF("id"), ["id"])
+        raise ZeroDivisionError
+    assert os.listdir(tmp_path) == []
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(space.run)]
+
+
+def test_quarantine(spark, tmp_path):
+    path = tmp_path / "bad.jsonl"
+    path.write_text(
+        '{"id":"a","contents":[{"content":"x","subtype":"paragraph"}]}\n{oops\n\n'
+        '{"id":"b","contents":"no list"}\n{"id":"c","other":1}\n{"id":"d"\n')
+    for schema in (ARTICLE, articles.RANKING_FIELDS):
+        good, corrupt = articles.checked_articles(spark, str(path), schema)
+        assert good.schema == schema
+        assert sorted(r.id for r in good.collect()) == ["a", "c"]
+        lines = {r.line: r.file for r in corrupt.collect()}
+        assert set(lines) == {"{oops", '{"id":"b","contents":"no list"}', '{"id":"d"'}
+        assert all(file.endswith("bad.jsonl") for file in lines.values())
+        assert [r.n_lines for r in articles.corrupt_counts(corrupt).collect()] == [3]
+
+
+def test_job_with_corrupt_lines(spark, tmp_path):
+    (tmp_path / "news").write_text("\n".join([*LINES, "{broken", '{"id":5,"title":[']) + "\n")
+    (tmp_path / "queries").write_text("harbour bonds\n")
+    options = ["--queries", str(tmp_path / "queries"), "--articles", str(tmp_path / "news"),
+               "--format", "parquet", "--work-dir", str(tmp_path / "work")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        job.main([*options, "--out", str(tmp_path / "none")])
+    job.main([*options, "--out", str(tmp_path / "out"), "--quarantine", str(tmp_path / "bad")])
+    assert [r.doc_id for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["a1"]
+    lines = {r.line for r in spark.read.parquet(str(tmp_path / "bad")).collect()}
+    assert lines == {"{broken", '{"id":5,"title":['}
+    assert os.listdir(tmp_path / "work") == []
+
+
+def test_spread_leaves_tables_with_tasks_enough(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few, many = spark.range(10).coalesce(1), spark.range(0, 10, 1, cores + 1)
+    assert articles.spread(few).rdd.getNumPartitions() == cores
+    assert articles.spread(many) is many
 
 
 def test_queries_with_one_file_name_keep_apart(spark):
