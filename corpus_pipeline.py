@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillrank.llm import langid, linededup, mixing, neardup, sentencepiece
+from quillrank.llm import langid, linededup, mixing, sentencepiece, simhash
 from quillrank.llm.shared import Scratch, documents
 
+#: Tokens of the mixture per token that comes in.
+BUDGET_SHARE = 1.0
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -36,14 +39,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, Jaccard similarity 0.8 or
-    more, checked exactly): the one with the smallest id."""
-    return neardup.representatives(docs)
+    """One document of each group of near copies, the one with the smallest id: texts are linked whose SimHash
+    fingerprints of three-word shingles differ in two bits or fewer."""
+    return simhash.representatives(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture: documents as often as the budgets of their leaves take them."""
-    return mixing.mix(docs)
+    """The mixture: documents as often as the budgets of their leaves take them. The budget is
+    all tokens that come in, so what a leaf has above its weight goes and what it lacks is made up."""
+    return mixing.mix(docs, budget_share=BUDGET_SHARE)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
