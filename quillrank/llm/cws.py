@@ -9,87 +9,125 @@ from quillrank.llm.shared import Scratch
 
 SAMPLES = 64
 WORD_BREAK = r"[\x20\x09-\x0D]+"
-_UNIT = 1.0 / (1 << 26)
+_BLOCK = 8  # samples that one row draws
 _LOW = (1 << 32) - 1
 
 
-def _uniform(bits: Column, shift: int) -> Column:
-    """In (0, 1], from 26 of 64 bits."""
-    part = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << 26) - 1))
-    return (part + 1) * F.lit(_UNIT)
+def _uniform(bits: Column, shift: int, width: int = 26) -> Column:
+    """Between 0 and 1, neither included, from some of 64 bits."""
+    part = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << width) - 1))
+    return (part + 0.5) * F.lit(1.0 / (1 << width))
 
 
-def sample_key(term: Column, log_weight: Column, number: int) -> Column:
+def draws(term: Column, number: Column) -> dict[str, Column]:
+    """What a sample draws for a term, whatever its weight: r and c from the gamma distribution of shape 2 (minus
+    the log of two uniforms each; of c the logarithm), b uniform, and a hash of term and sample."""
+    first = F.xxhash64(term, number * 2)
+    second = F.xxhash64(term, number * 2 + 1)
+    rest = F.shiftleft(F.shiftrightunsigned(first, 52), 12) + F.shiftrightunsigned(second, 52)
+    return {
+        "r": -F.ln(_uniform(first, 0) * _uniform(first, 26)),
+        "ln_c": F.ln(-F.ln(_uniform(second, 0) * _uniform(second, 26))),
+        "b": _uniform(rest, 0, 24),
+        "hash": first,
+    }
+
+
+def sample_key(log_weight: Column, drawn: dict[str, Column]) -> Column:
     """One consistent weighted sample of a term as a 64-bit number, the smallest of which wins.
 
-    The hash of term and sample number gives r and c, each from the gamma distribution of shape 2 (minus
-    the log of two uniforms), and b, uniform. The weight S falls into the log-scale step
-    t = floor(ln S / r + b), and the term competes with ln a = ln c - r (t - b + 1). The upper 32
-    bits hold a on a fine scale, the lower ones a hash of term and step: two documents share
+    The weight S falls into the log-scale step t = floor(ln S / r + b), and the term competes with
+    ln a = ln c - r (t - b + 1). The upper 32
+    bits hold a on a fine scale, the lower ones a hash of term, sample and step: two documents share
     a sample only if the same term wins at the same step, which happens with the probability
     of their generalised Jaccard similarity.
     """
-    first = F.xxhash64(term, F.lit(2 * number))
-    second = F.xxhash64(term, F.lit(2 * number + 1))
-    r = -F.ln(_uniform(first, 0) * _uniform(first, 26))
-    ln_c = F.ln(-F.ln(_uniform(second, 0) * _uniform(second, 26)))
-    b = _uniform(F.xxhash64(first, second), 0)
+    r, b = drawn["r"], drawn["b"]
     t = F.floor(log_weight / r + b)
-    ln_a = ln_c - r * (t - b + 1)
+    ln_a = drawn["ln_c"] - r * (t - b + 1)
     # ln a lies between about -1,000 and 4; below -60 nothing more than order at the edge is lost
     scaled = ((F.greatest(ln_a, F.lit(-60.0)) + 60.0) * float(1 << 25)).cast("long")
-    mark = F.xxhash64(term, t, F.lit(number)).bitwiseAND(F.lit(_LOW))
+    mark = F.xxhash64(drawn["hash"], t).bitwiseAND(F.lit(_LOW))
     return F.shiftleft(scaled, 32).bitwiseOR(mark)
 
 
+def sampled(
+    terms: DataFrame, keys: list[str], weights: tuple[str, ...] = ("weight",),
+    samples: int = SAMPLES,
+) -> DataFrame:
+    """``(<keys>, <weights>)`` from ``terms(<keys>, term, <weights>)``, terms as 64-bit hashes and
+    distinct per key; each column of weights gives the signature of one text, an array of ``samples`` numbers. Weights
+    that are null or not above zero do not take part; a key without any other has nulls for samples.
+
+    Draws are made once for all weights of a term. The number of a sample is a column, in blocks of a
+    few: an aggregate over small expressions is compiled, and what is grouped are minima.
+    """
+    blocks = -(-samples // _BLOCK)
+    logs = [F.when(F.col(w) > 0, F.ln(F.col(w).cast("double"))).alias(w) for w in weights]
+    rows = terms.select(
+        *keys, "term", *logs, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    )
+    names = ["r", "ln_c", "b", "hash"]
+    drawn = rows.select(*keys, "term", *weights, "block", *[
+        column.alias(f"{name}_{i}")
+        for i in range(_BLOCK)
+        for name, column in draws(F.col("term"), F.col("block") * _BLOCK + i).items()
+    ])
+    least = drawn.groupBy(*keys, "block").agg(*[
+        F.min(F.when(F.col("term").isNotNull() & F.col(w).isNotNull(), sample_key(
+            F.col(w), {name: F.col(f"{name}_{i}") for name in names}
+        ))).alias(f"{w}_{i}")
+        for w in weights for i in range(_BLOCK)
+    ])
+    block = F.struct("block", *[
+        F.array(*[F.col(f"{w}_{i}") for i in range(_BLOCK)]).alias(w) for w in weights
+    ])
+    gathered = least.groupBy(*keys).agg(F.sort_array(F.collect_list(block)).alias("blocks"))
+
+    def joined(w: str) -> Column:
+        parts = F.transform("blocks", lambda x: x[w])
+        return F.slice(F.flatten(parts), 1, samples).alias(w)
+
+    return gathered.select(*keys, *map(joined, weights))
+
+
 def signatures(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``(<keys>, sig_0 ... )`` from ``terms(<keys>, term, weight)``, terms as 64-bit hashes and
-    distinct per key; weights that are null or not above zero do not take part. A minimum per
-    sample: partial aggregates, nothing is collected."""
-    usable = terms.where("weight > 0").select(
-        *keys, "term", F.ln(F.col("weight").cast("double")).alias("log_weight")
+    """``(<keys>, sig_0 ... )`` from ``terms(<keys>, term, weight)``."""
+    return sampled(terms, keys, samples=samples).select(
+        *keys, *[F.get(F.col("weight"), F.lit(i)).alias(f"sig_{i}") for i in range(samples)]
     )
-    columns = [
-        F.min(F.when(
-            F.col("term").isNotNull(), sample_key(F.col("term"), F.col("log_weight"), i)
-        )).alias(f"sig_{i}")
-        for i in range(samples)
-    ]
-    return usable.groupBy(*keys).agg(*columns)
 
 
 def word_terms(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """``(<keys>, term, weight)``: how often each word stands in a text. Where a text begins or
     ends with white space, or has no word, there is a null term, which is never sampled."""
-    words = texts.select(*keys, F.explode(F.split(F.col(text), WORD_BREAK)).alias("word"))
-    term = F.when(F.col("word") != "", F.xxhash64("word"))
-    hashed = words.select(*keys, term.alias("term"))
-    return hashed.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("weight"))
+    return _words(texts, keys, text).groupBy(*keys, "term").agg(
+        F.count(F.lit(1)).alias("weight")
+    )
 
 
-def _parts(left: str, right: str, samples: int) -> list[Column]:
-    return [
-        (F.col(f"{left}_{i}") == F.col(f"{right}_{i}")).cast("double") for i in range(samples)
-    ]
+def _words(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    words = texts.select(*keys, F.explode(F.split(F.col(text), WORD_BREAK)).alias("word"))
+    return words.select(*keys, F.when(F.col("word") != "", F.xxhash64("word")).alias("term"))
 
 
-def likeness(left: str, right: str, samples: int = SAMPLES) -> Column:
-    """Share of equal samples in the columns ``<left>_i`` and ``<right>_i``: an estimate of the
+def likeness(left: Column, right: Column, samples: int = SAMPLES) -> Column:
+    """Share of equal samples in two signatures: an estimate of the
     generalised Jaccard similarity. Two texts without words are equal (1); one without and one
     with words share nothing (0)."""
-    total = sum(_parts(left, right, samples), F.lit(0.0)) / samples
-    none_left, none_right = F.col(f"{left}_0").isNull(), F.col(f"{right}_0").isNull()
-    return F.when(none_left & none_right, 1.0).otherwise(F.coalesce(total, F.lit(0.0)))
+    same = F.size(F.filter(F.zip_with(left, right, lambda a, b: a == b), lambda e: e))
+    none_left, none_right = F.get(left, F.lit(0)).isNull(), F.get(right, F.lit(0)).isNull()
+    return F.when(none_left & none_right, 1.0).when(none_left | none_right, 0.0).otherwise(
+        same / float(samples)
+    )
 
 
-def fingerprint(prefix: str, samples: int = SAMPLES) -> Column:
+def fingerprint(signature: Column) -> Column:
     """The samples as text, 8 hex digits each: term and step hashes, which is what decides
     equality. Empty for a text without words."""
-    marks = [
-        F.lpad(F.lower(F.hex(F.col(f"{prefix}_{i}").bitwiseAND(F.lit(_LOW)))), 8, "0")
-        for i in range(samples)
-    ]
-    return F.concat_ws("", *marks)
+    return F.array_join(F.transform(signature, lambda sample: F.lpad(
+        F.lower(F.hex(sample.bitwiseAND(F.lit(_LOW)))), 8, "0"
+    )), "")
 
 
 def _range_starts(docs: DataFrame, ranges: int) -> list:
@@ -164,7 +202,7 @@ def fingerprint_edits(
     Terms are words, weighted by how often they stand in the text. A null text is empty; texts
     without words have an empty fingerprint and are alike (1) to each other only; equal texts
     have equal fingerprints. Repeated rows and rows with equal keys follow each other, ordered by
-    text; null keys come first. After the range placement nothing is exchanged but one row
+    text; null keys come first; a key is a number (other kinds fail in the cast). After the range placement nothing is exchanged but one row
     per text for the likeness to the next document: words are counted where the text is.
     """
     spark = docs.sparkSession
@@ -183,19 +221,20 @@ def fingerprint_edits(
     texts = follow.select(*row, F.posexplode(F.array("text", edited))).select(
         *row, F.col("pos").alias("version"), F.col("col").alias("text")
     )
-    signed = signatures(word_terms(texts, [*row, "version"]), [*row, "version"], samples)
-    both = signed.groupBy(*row).agg(*[
-        F.max(F.when(F.col("version") == version, F.col(f"sig_{i}"))).alias(f"{name}_{i}")
-        for version, name in enumerate(["own", "edited"]) for i in range(samples)
-    ])
+    terms = _words(texts, [*row, "version"]).groupBy(*row, "term").agg(
+        F.count_if(F.col("version") == 0).alias("own"),
+        F.count_if(F.col("version") == 1).alias("edited"),
+    )
     by_place = Window.partitionBy("range").orderBy("place")
-    compared = both.select("*", *[
-        F.lead(f"own_{i}").over(by_place).alias(f"next_{i}") for i in range(samples)
-    ]).select(
-        *row, fingerprint("own", samples).alias("fingerprint"),
-        fingerprint("edited", samples).alias("edited_fingerprint"),
-        likeness("own", "edited", samples).alias("near_edited"),
-        likeness("own", "next", samples).alias("near_next"),
+    signed = sampled(terms, row, ("own", "edited"), samples).withColumn(
+        "next", F.lead("own").over(by_place)
+    )
+    own = F.col("own")
+    compared = signed.select(
+        *row, fingerprint(own).alias("fingerprint"),
+        fingerprint(F.col("edited")).alias("edited_fingerprint"),
+        likeness(own, F.col("edited"), samples).alias("near_edited"),
+        likeness(own, F.col("next"), samples).alias("near_next"),
     )
     facts = follow.where("not guest").select(
         *row, F.col("id").alias(key), F.length("text").cast("long").alias("n_chars"),

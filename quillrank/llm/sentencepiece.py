@@ -10,16 +10,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.llm.pieces import MODEL_PATH, SPACE, PieceTable, load_pieces
+from quillrank.llm.shared import Scratch
 
 LONG_WORD = 256       # longer words take the row-wise form of the same search
-SHARE_CHARS = 32_000_000  # about how many characters of text share one list of words
+SHARE_CHARS = 8_000_000   # about how many characters of text share one list of words
+_PACK_WORDS = 200_000     # words whose pieces are packed at a time
 _BARE = 1 << 21       # above all ids; code points without a piece are counted from here
 _STEP_WORDS = 250_000     # words of a share that become pieces at a time
 _SLICE = 200
@@ -150,12 +151,9 @@ def _slices(batches):
 def _shares(
     docs: DataFrame, key: str, text: str, costs: dict[str, tuple[int, int]], share_chars: int
 ) -> DataFrame:
-    """``(share, rows)``: consecutive texts of a task, about ``share_chars`` characters together,
-    as one row. The first of ``rows`` is the share's script: keys, words per text (-1: null), the
-    words of all texts as numbers, and the pieces of long words. The others are its distinct
-    words by number. One column holds both, so that all readers use one exchange, whole.
-    A share is named by a hash of what it holds and its place: were a lost task to find its
-    input in another order, its shares would not meet old words, and the job fails."""
+    """``(share, script)``: consecutive texts of a task, about ``share_chars`` characters together,
+    as one packed row: keys, words per text (-1: null), the words of all texts as numbers, the distinct words in the
+    order of their numbers, and the pieces of long words."""
     longest, pattern = max(map(len, costs)), word_pattern(costs)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,14 +167,10 @@ def _shares(
                 for i, word in enumerate(words) if len(word) > LONG_WORD
             }
             numbers = np.concatenate(texts) if texts else np.zeros(0, "<i4")
-            script = zstandard.compress(pickle.dumps((keys, sizes, _planes(numbers), long)))
-            rows = [script, *(b"" if i in long else w.encode() for i, w in enumerate(words))]
-            hashed = xxhash.xxh64(repr((task, count)))
-            for row in rows:
-                hashed.update(row)
-            name = np.array([hashed.intdigest()], np.uint64).view(np.int64)
+            script = zstandard.compress(pickle.dumps((keys, sizes, _planes(numbers), words, long)))
             return pa.RecordBatch.from_arrays(
-                [pa.array(name), pa.array([rows], pa.list_(pa.binary()))], ["share", "rows"]
+                [pa.array([(task << 20) + count], pa.int64()), pa.array([script], pa.binary())],
+                ["share", "script"],
             )
 
         def fresh():
@@ -203,7 +197,26 @@ def _shares(
             yield share()
 
     named = docs.select(F.col(key).cast("string").alias("id"), F.col(text).alias("text"))
-    return named.mapInArrow(split, "share long, rows array<binary>")
+    return named.mapInArrow(split, "share long, script binary")
+
+
+def _words(scripts: DataFrame) -> DataFrame:
+    """``(row)``: the distinct words of every share but the long ones, each behind its place, which is share and number
+    in hex digits, and a space. One column, so that all readers of an exchange share it."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for share, script in zip(batch["share"].to_pylist(), batch["script"], strict=True):
+                words, long = pickle.loads(zstandard.decompress(script.as_py()))[3:]
+                for first in range(0, len(words), _PACK_WORDS):
+                    rows = [
+                        f"{share:x}:{i:x} {word}"
+                        for i, word in enumerate(words[first:first + _PACK_WORDS], first)
+                        if i not in long
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["row"])
+
+    return scripts.mapInArrow(unpack, "row string")
 
 
 def _places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -222,26 +235,37 @@ def _numbers(planes: bytes) -> np.ndarray:
 
 
 def _packed(known: DataFrame) -> DataFrame:
-    """``(part, words)`` of ``known(part, at, ids)``: the rows of a batch, by part, as one packed row
+    """``(part, words)`` of ``known(part, at, ids)``: the rows of some batches, by part, as one packed row
     each, so that little is exchanged."""
 
+    def packed(rows: pa.Table) -> pa.RecordBatch:
+        part, at = rows["part"].to_numpy(), rows["at"].to_numpy()
+        ids = rows["ids"].combine_chunks()
+        lengths = pc.list_value_length(ids).to_numpy()
+        flat = ids.flatten().to_numpy()
+        starts = np.cumsum(lengths) - lengths
+        order = np.lexsort((at, part))
+        parts, firsts = np.unique(part[order], return_index=True)
+        blobs = []
+        for chosen in np.split(order, firsts[1:]):
+            spelled = flat[_places(starts[chosen], lengths[chosen])]
+            blobs.append(zstandard.compress(pickle.dumps((
+                _planes(np.diff(at[chosen], prepend=0)), _planes(lengths[chosen]), _planes(spelled)
+            ))))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(parts, pa.int64()), pa.array(blobs, pa.binary())], ["part", "words"]
+        )
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, count = [], 0
         for batch in batches:
-            part, at = batch["part"].to_numpy(), batch["at"].to_numpy()
-            lengths = pc.list_value_length(batch["ids"]).to_numpy()
-            flat = batch["ids"].flatten().to_numpy()
-            starts = np.cumsum(lengths) - lengths
-            parts, blobs = np.unique(part), []
-            for one in parts:
-                rows = np.flatnonzero(part == one)
-                rows = rows[np.argsort(at[rows])]
-                ids = flat[_places(starts[rows], lengths[rows])]
-                blobs.append(zstandard.compress(pickle.dumps((
-                    _planes(np.diff(at[rows], prepend=0)), _planes(lengths[rows]), _planes(ids)
-                ))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(parts, pa.int64()), pa.array(blobs, pa.binary())], ["part", "words"]
-            )
+            waiting.append(batch)
+            count += len(batch)
+            if count >= _PACK_WORDS:
+                yield packed(pa.Table.from_batches(waiting))
+                waiting, count = [], 0
+        if count:
+            yield packed(pa.Table.from_batches(waiting))
 
     return known.mapInArrow(pack, "part long, words binary")
 
@@ -255,7 +279,7 @@ def _put_together(byte_ids: tuple[int, ...]):
 
     def put_together(scripts: pa.Table, known: pa.Table) -> pa.Table:
         (script,) = scripts["script"].to_pylist()
-        keys, sizes, planes, long = pickle.loads(zstandard.decompress(script))
+        keys, sizes, planes, _, long = pickle.loads(zstandard.decompress(script))
         numbers = _numbers(planes)
         blocks = [
             [_numbers(part) for part in pickle.loads(zstandard.decompress(block))]
@@ -279,7 +303,7 @@ def _put_together(byte_ids: tuple[int, ...]):
             end += len(extra[-1])
         flat = np.concatenate([flat, *extra])
         if not length[numbers].all():
-            raise RuntimeError("a share lacks words: its input came in another order when read again")
+            raise RuntimeError("a share has words without pieces")
         ends = np.cumsum(np.maximum(sizes, 0))
         tables, first, taken = [], 0, 0
         while first < len(keys):    # some million words at a time
@@ -310,7 +334,8 @@ def encode(
     A null text has null ids, an empty one the single space piece. Repeated rows get equal
     answers, other columns are not read. Texts are cut into words where they are read, and
     numbered in shares of about ``share_chars`` characters (or one longer text); no text is
-    exchanged, a share's words travel as numbers. The distinct words of the shares are placed by
+    exchanged. The shares are written to the shared folder, by the hash of their number, and read from there, so a lost
+    executor changes nothing in them. Their distinct words are placed by
     word; every distinct word of all texts is segmented once, there, and its pieces go to the shares
     that hold it, packed: a frequent word is one narrow row per share, whatever its count. A word of more
     than LONG_WORD characters is segmented in its share, by the same search. The key is a number
@@ -320,21 +345,20 @@ def encode(
     costs = piece_costs(table)
     # named, so that small partitions stay apart: what a lattice needs is many times its words
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = _shares(docs, key, text, costs, share_chars).repartition(parts, "share")
-    # word and place in one array, for one exchange again
-    words = shares.select("share", F.posexplode_outer("rows").alias("at", "word")).where(
-        "at > 0 and word != binary('')"
-    ).select(
-        F.array(F.col("word").cast("string"), F.concat_ws(" ", "share", F.col("at") - 1)).alias("row")
-    ).repartition(parts, F.col("row")[0]).select(
-        F.col("row")[0].alias("word"), F.col("row")[1].alias("place")
+    scripts = Scratch(docs.sparkSession).bucketed(
+        "shares", _shares(docs, key, text, costs, share_chars), "share", parts
+    )
+    word, place = (F.expr(f"substring({at})") for at in (
+        "row, instr(row, ' ') + 1", "row, 1, instr(row, ' ') - 1"
+    ))
+    words = _words(scripts).repartition(parts, word).select(
+        word.alias("word"), F.split(place, ":").alias("place")
     )
     segmented = _lattice(words.select("word").distinct(), costs)
-    place = F.split("place", " ")
+    part, at = (F.conv(F.col("place")[i], 16, 10) for i in range(2))
     known = words.join(segmented.hint("shuffle_hash"), "word").select(
-        place[0].cast("long").alias("part"), place[1].cast("int").alias("at"), "ids"
+        part.cast("long").alias("part"), at.cast("int").alias("at"), "ids"
     )
-    scripts = shares.select("share", F.col("rows")[0].alias("script"))
     joined = scripts.groupBy("share").cogroup(_packed(known).groupBy("part"))
     kind = dict(docs.dtypes)[key]
     return joined.applyInArrow(

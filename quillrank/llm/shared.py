@@ -33,6 +33,17 @@ class Scratch:
         rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def bucketed(self, name: str, rows: DataFrame, key: str, buckets: int) -> DataFrame:
+        """A table whose rows stand by the hash of ``key``, so that a join on it moves the other side alone.
+        The catalog knows it only while it is opened."""
+        table = f"llm_{uuid.uuid4().hex}"
+        path = f"{self.folder}/{name}"
+        rows.write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
+        opened = self.spark.table(table)
+        opened.schema  # noqa: B018 (resolved while the catalog has it)
+        self.spark.sql(f"DROP TABLE {table}")
+        return opened
+
     def drop(self) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quillrank.llm import components, linededup, neardup, simhash
+from quillrank.llm import components, linededup, simhash
 from quillrank.llm.shared import Scratch
 from tests.llm.helpers import ODD_TEXTS, docs_of, odd_docs
 
@@ -155,21 +155,6 @@ def test_line_counts_settle_across_levels(spark):
     assert [(r.h1, r.h2) for r in runs.finish().collect()] == [(7, 8)]
 
 
-def _near_groups(texts, width=5, likeness=0.8):
-    """Smallest index reachable over pairs of at least the likeness, by comparing all pairs."""
-    sets = []
-    for text in texts:
-        words = _ascii_words((text or "").translate(_LOWER))
-        sets.append({tuple(words[i:i + width]) for i in range(max(1, len(words) - width + 1))})
-    root = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= likeness:
-                a, b = sorted((root[i], root[j]))
-                root = [a if r == b else r for r in root]
-    return root
-
-
 def _edited_texts():
     """Families of texts with some words exchanged, chains of them, and others."""
     draw = random.Random(8)
@@ -191,28 +176,8 @@ def _edited_texts():
 
 def test_pipeline_near_dedup_keeps_one_of_each_brute_force_group(spark):
     texts = _edited_texts()
-    docs = docs_of(spark, texts)
-    kept = dict(enumerate(corpus_pipeline.near_dedup(spark, docs, "").collect()))
-    assert sorted(r.doc_id for r in kept.values()) == sorted(set(_near_groups(texts)))
-    assert all(r.text == texts[r.doc_id] for r in kept.values())
-
-
-def test_neardup_links_no_pair_below_the_likeness(spark):
-    base = [f"w{i}" for i in range(84)]  # 80 shingles; an edit inside exchanges five of them
-    far, near = list(base), list(base)
-    far[20] = far[40] = "x"          # 70 of 90 are shared
-    near[20] = near[22] = "x"        # 73 of 87
-    texts = [" ".join(words) for words in (base, far, near)]
-    assert _near_groups(texts[:2]) == [0, 1] and _near_groups([texts[0], texts[2]]) == [0, 0]
-    for pair in ([0, 1], [0, 2]):
-        kept = neardup.representatives(docs_of(spark, [texts[i] for i in pair]))
-        assert kept.count() == len(set(_near_groups([texts[i] for i in pair])))
-
-
-def test_neardup_of_odd_rows(spark):
-    docs = odd_docs(spark)
-    kept = neardup.representatives(docs)
-    assert kept.columns == docs.columns
-    kept_ids = Counter(r.doc_id for r in kept.collect())
-    assert kept_ids[0] == 1 and kept_ids[3] == 1 and not kept_ids[1] and not kept_ids[4]
-    assert neardup.representatives(docs.where("false")).count() == 0
+    kept = corpus_pipeline.near_dedup(spark, docs_of(spark, texts), "").collect()
+    groups = _groups([_plain_fingerprint(text) for text in texts])
+    assert sorted(r.doc_id for r in kept) == sorted(set(groups))
+    assert len(set(groups)) < len(set(texts))  # other texts than exact copies were linked
+    assert all(r.text == texts[r.doc_id] for r in kept)
