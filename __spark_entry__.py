@@ -261,7 +261,7 @@ def rank_in_query(spark, sf_dir):
 
 def topk_before_dedup(spark, sf_dir):
     def top(scores, matches):
-        first = ranking.top_ranked(scores, 10, spread_by="row_id")
+        first = ranking.top_ranked(scores, 10, in_parts=True)
         titles = matches.select(*PLACE, "row_id", "title")
         return first.join(titles, [*PLACE, "row_id"]).select(
             "query_id", _rank(), "doc_id", *_finite("score"), "title"

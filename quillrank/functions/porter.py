@@ -142,42 +142,47 @@ def stem_word(word: Column) -> Column:
 
 
 # What is sure about a word from its stem. The rules only cut at the end of a word or rewrite
-# what they cut, and a rewritten letter survives to the end in three cases only: an ``e`` put
-# back, an ``i`` for ``y``, the ``l`` of ``bl``. So a stem, without its last letter in those
-# cases, is a prefix of its words. And every cut but the plural one asks for a vowel in what
-# is left, so a stem without vowels is the word or its plural.
-_PREFIX = 5  # letters of a prefix that are looked at
+# what they cut, and they ask for a vowel in what is left but for the plural one. A rewritten letter
+# survives to the end in three cases only: an ``e`` put back for -ed or -ing, an ``i`` for ``y``, the ``l`` of
+# ``bl`` for -bility. So a word begins with its stem or with one of the forms below, a stem without vowels is the
+# word or its plural, and only -es, -ed and -ing leave a single vowel.
+_OTHER_ENDS = (("e", "i"), ("i", "y"), ("bl", "i"))
+_PREFIX = 5  # letters of a beginning that are looked at
 
 
 def signs_of_stem(stem: Column) -> Column:
     """``array<struct<kind, word>>``: what ``may_stem`` asks for, for the words of one stem. ``start``: the
     first letters of its words; ``word``: all of its words; ``two``: the first two letters of either;
     ``stem``: itself."""
-    cut = F.when(stem.rlike("(?:e|i|bl)$") & (F.length(stem) > 1), F.expr("1")).otherwise(0)
-    start = F.left(F.substring(stem, F.lit(1), F.length(stem) - cut), F.lit(_PREFIX))
-    plain = [stem, F.concat(stem, F.lit("s")), F.concat(stem, F.lit("es"))]
-
     def sign(kind: str, word: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), word.alias("word"))
 
-    of_start = F.array(sign("start", start), sign("two", F.left(start, F.lit(2))))
-    of_words = F.array(
-        *[sign("word", word) for word in plain],
-        *[sign("two", F.left(word, F.lit(2))) for word in plain],
-    )
+    def signs(kind: str, words: list[Column]) -> Column:
+        return F.array(*[
+            s for w in words for s in (sign(kind, w), sign("two", F.left(w, F.lit(2))))
+        ])
+
+    def followed_by(*ends: str) -> list[Column]:
+        return [F.concat(stem, F.lit(end)) for end in ends]
+
+    rest = F.substring(stem, F.lit(1), F.length(stem) - 1)
+    other = F.coalesce(*[
+        F.when(F.endswith(stem, F.lit(end)), F.concat(rest, F.lit(new)))
+        for end, new in _OTHER_ENDS
+    ], stem)
+    starts = [F.left(beginning, F.lit(_PREFIX)) for beginning in (stem, other)]
     return F.concat(
         F.array(sign("stem", stem)),
-        F.when(stem.rlike("[aeiouy]"), of_start).otherwise(of_words),
+        F.when(~stem.rlike("[aeiouy]"), signs("word", followed_by("", "s", "es")))
+        .when(F.length(stem) == 1, signs("word", followed_by("", "es", "ed", "ing", "eds", "ings")))
+        .otherwise(signs("start", starts)),
     )
 
 
 def may_stem(word: Column, has: Callable[[str, Column], Column]) -> Column:
     """Necessary for the stem of ``word`` to be one of those whose signs ``has(kind, word)`` knows.
     Cheap: most words already differ from all of them in the first two letters."""
-    def starts(n: int) -> Column:
-        return has("start", F.left(word, F.lit(n)))
-
     longer = has("word", word)
     for n in range(2, _PREFIX + 1):
-        longer = longer | starts(n)
-    return starts(1) | (has("two", F.left(word, F.lit(2))) & longer)
+        longer = longer | has("start", F.left(word, F.lit(n)))
+    return has("two", F.left(word, F.lit(2))) & longer

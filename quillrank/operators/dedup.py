@@ -153,7 +153,7 @@ def distinct_top(
     rare further rounds; ``save`` writes a small table and reads it back.
     """
     def cut(rows: DataFrame) -> DataFrame:
-        return top_ranked(rows, size, TIE_BREAK, spread_by="row_id")
+        return top_ranked(rows, size, TIE_BREAK, in_parts=True)
 
     full, seen_all = F.size("kept") >= k, F.col("seen") < size
     first = save("kept_1", fold_window(with_titles(cut(scores)), None, k, min_distance))

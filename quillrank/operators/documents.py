@@ -69,25 +69,14 @@ def document_matches(
 
     With a ``sieve``, tokens that cannot stem to one of its terms are dropped before stemming,
     and most other terms after it; what is left besides the terms of the sieve does no harm, as
-    terms are selected by a join. Without one, every term is there. Tokens are sorted and counted in the
-    row first, so that a word is stemmed once per article, however often it stands there.
+    terms are selected by a join. Without one, every term is there.
     """
     tokens = F.col("tokens")
-    words = F.filter(tokens, sieve.may_stem_to_term) if sieve else tokens
+    stems = stem_words(F.filter(tokens, sieve.may_stem_to_term) if sieve else tokens)
     counted = document_tokens(articles, **options).select(
         "doc_id",
         "title",
         F.size("tokens").cast("long").alias("dl"),
-        F.sort_array(words).alias("words"),
-    ).select("doc_id", "title", "dl", count_runs(F.col("words")).alias("counts"))
-    stems = stem_words(F.transform("counts", lambda c: c["term"]))
-    stemmed = F.zip_with(stems, "counts", lambda stem, c: F.struct(
-        stem.alias("term"), c["tf"].cast("int").alias("tf")
-    ))
-    if sieve:
-        stemmed = F.filter(stemmed, lambda s: sieve.may_be_term(s["term"]))
-    # equal stems of different words meet by sorting again
-    hits = F.flatten(F.transform(stemmed, lambda s: F.array_repeat(s["term"], s["tf"])))
-    return counted.select("doc_id", "title", "dl", F.sort_array(hits).alias("hits")).select(
-        "doc_id", "title", "dl", count_runs(F.col("hits")).alias("matches")
+        F.sort_array(F.filter(stems, sieve.may_be_term) if sieve else stems).alias("hits"),
     )
+    return counted.select("doc_id", "title", "dl", count_runs(F.col("hits")).alias("matches"))

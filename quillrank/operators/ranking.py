@@ -36,18 +36,15 @@ def part_of(row_id: Column) -> Column:
 
 
 def top_ranked(
-    scores: DataFrame,
-    n: int,
-    tie_break: Sequence[str] = ("doc_id",),
-    spread_by: str | None = None,
+    scores: DataFrame, n: int, tie_break: Sequence[str] = ("doc_id",), in_parts: bool = False
 ) -> DataFrame:
     """The first ``n`` per query. Spark cuts every partition to ``n`` rows per query before
     the exchange (WindowGroupLimit), so a query matched by a third of the corpus still sends
-    only ``n`` rows per task. With ``spread_by``, a column that tells rows apart, these meet in ``PARTS`` parts per
-    query first, each of which is cut to ``n`` again: the task that sees a whole query then reads
+    only ``n`` rows per task. ``in_parts``: what tasks have sent meets by query and a ``PARTS``-th of the
+    tasks first, and each such part is cut to ``n`` again, so the task that sees a whole query reads
     ``PARTS`` times ``n`` rows, however many tasks have sent some."""
-    if spread_by:
-        parts = scores.withColumn("part", part_of(F.col(spread_by)))
+    if in_parts:
+        parts = scores.withColumn("part", F.spark_partition_id() % PARTS)
         scores = _ranked(parts, ["query_id", "part"], tie_break).where(
             F.col("rank") <= n
         ).drop("rank", "part")

@@ -94,10 +94,11 @@ def test_a_query_is_cut_in_parts_before_it_meets(tables):
     """In the tasks that scored, in the parts of a query, and in its whole."""
     _, matches, terms = tables
     scores = document_scores(matches, terms, "floor", KEYS)
-    text = plan(top_ranked(scores, 200, TIE_BREAK, spread_by="row_id"))
+    text = plan(top_ranked(scores, 200, TIE_BREAK, in_parts=True))
     exchanges = re.findall(r"Exchange hashpartitioning\((\w+)#\d+L?, (?:(\w+)#)?", text)
     assert exchanges == [("query_id", ""), ("query_id", "part")]
     assert text.count("WindowGroupLimit") >= 3
+    assert "SPARK_PARTITION_ID" in text
 
 
 def test_later_rounds_spread_a_hot_query(tables, no_broadcast):
@@ -112,7 +113,7 @@ def test_later_rounds_spread_a_hot_query(tables, no_broadcast):
     left = survivors(scores, open_queries, lambda rows: rows.join(
         matches.select(*PLACE, "row_id", "title"), [*PLACE, "row_id"]
     ))
-    text = plan(top_ranked(left, 200, TIE_BREAK, spread_by="row_id"))
+    text = plan(top_ranked(left, 200, TIE_BREAK, in_parts=True))
     joins = re.findall(r"SortMergeJoin \[(.*?)\], \[", text)
     assert sum("query_id" in keys and "part" in keys for keys in joins) == 2
     assert "BroadcastExchange" not in text

@@ -74,6 +74,16 @@ def test_order_within_a_query(spark):
     assert top_ranked(scores, 2).count() == 3
 
 
+def test_cuts_in_parts_change_nothing(spark):
+    scores = spark.range(0, 3000, 1, 150).select(
+        (F.col("id") % 7).cast("string").alias("query_id"), F.col("id").cast("string").alias("doc_id"),
+        (F.xxhash64("id") % 40).cast("double").alias("score"),
+    )
+    whole = sorted(map(tuple, top_ranked(scores, 9).collect()))
+    assert sorted(map(tuple, top_ranked(scores, 9, in_parts=True).collect())) == whole
+    assert len(whole) == 63
+
+
 def test_near_at_every_threshold(spark):
     """The bound on the number of edits agrees with the division at any share."""
     a = "abcdefghijklmnopqrstuvwxyzabcdefghijklmnopqrst"
