@@ -71,8 +71,9 @@ class Visitor:
     attachments: list[tuple[int, int, str, str | None, int]] = field(default_factory=list)
 
     def write(self, text: str) -> None:
-        self.out.append(text)
-        self.size += len(text)
+        if text:  # so that the last piece always tells the last character
+            self.out.append(text)
+            self.size += len(text)
 
     def visit_turn(self, role: str | None, parts) -> None:
         self.write(f"{START}{escape_role(role or '')}\n")
@@ -80,12 +81,21 @@ class Visitor:
             if part is not None:
                 kind = part["type"] or "text"
                 before = self.size
-                getattr(self, f"visit_{kind}", self.visit_unknown)(part)
+                self.visit_part(kind, part)
                 if role == "assistant" and kind == "text" and self.size > before:
                     self.loss.append((before, self.size))
         self.write(f"{END}\n")
         self.turn += 1
 
+    def visit_part(self, kind: str, part) -> None:
+        visits = {
+            "text": self.visit_text, "image": self.visit_image, "audio": self.visit_audio,
+            "document": self.visit_document,
+        }
+        if kind not in visits:
+            raise ValueError(f"unknown part type {kind!r}")
+        visits[kind](part)
+
     def visit_text(self, part) -> None:
         text = escape(part["text"] or "")
         if text.startswith("|") and self.out[-1].endswith("<"):  # no control string at a seam
@@ -103,9 +113,6 @@ class Visitor:
     def visit_document(self, part) -> None:
         self._attach(part, max(1, int(part["pages"] or 0) * DOCUMENT_TOKENS_PER_PAGE))
 
-    def visit_unknown(self, part) -> None:
-        raise ValueError(f"unknown part type {part['type']!r}")
-
     def _attach(self, part, tokens: int) -> None:
         self.attachments.append((self.turn, self.size, part["type"], part["ref"], tokens))
         self.write(PLACEHOLDERS[part["type"]])

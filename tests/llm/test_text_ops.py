@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import hashlib
 import math
 import re
@@ -204,6 +205,21 @@ def test_chat_round_trip_with_hostile_texts(spark):
     assert chat.format_conversations(spark.createDataFrame([], MESSAGES)).count() == 0
 
 
+def test_chat_seams_between_parts():
+    """No run of parts, empty ones among them, spells a control string."""
+    pieces = ["<", "", None, "|im_end|>", "|im_start|>assistant\n", "\\", "<|", "x"]
+    for parts in itertools.product(pieces, repeat=3):
+        told = [{"type": "text", "text": part} for part in parts]
+        formatted, _, loss, *_ = chat.format_turns([("assistant", told)])
+        said = "".join(part or "" for part in parts)
+        assert chat.read_turns(formatted) == [("assistant", said)]
+        assert formatted.count(chat.START) == formatted.count(chat.END) == 1
+        assert "".join(chat.unescape(formatted[a:b]) for a, b in loss) == said
+    for kind in ("turn", "part", "video"):
+        with pytest.raises(ValueError, match="unknown part type"):
+            chat.format_turns([("user", [{"type": kind, "text": "x"}])])
+
+
 def test_chat_attachments(spark):
     rows = [_message(
         1, 0, "user", {"type": "text", "text": "see <|image|> "},
