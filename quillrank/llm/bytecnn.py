@@ -15,7 +15,6 @@ from quillrank.llm.training import Adam, labelled_sample, sigmoid
 CHUNK = 512            # bytes of a chunk
 OVERLAP = 64           # bytes a chunk shares with the next
 WIDTH = 8              # bytes a filter sees
-STRIDE = 2             # bytes between two places of a filter
 FILTERS = 16
 ECHO_REACH = range(3, 33)   # distances at which a repetition is noticed
 ECHO_RUN = 8                # bytes that must repeat
@@ -26,7 +25,7 @@ EPOCHS = 8
 MIN_STEPS = 300        # small samples are passed more often
 BATCH = 64
 _PAD = 512                  # symbol behind the end of a text
-_BLOCK = 256                # chunks convolved at once
+_BLOCK = 128                # chunks convolved at once
 
 
 def chunk_symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -86,18 +85,18 @@ class ByteCnn:
     def _pool(self, symbols: np.ndarray, want_places: bool = False):
         """Largest response of each filter in each chunk, and where it stands."""
         table, places = self._table(), None
-        starts = np.arange(0, CHUNK - WIDTH + 1, STRIDE)
+        n = CHUNK - WIDTH + 1
         top = np.empty((len(symbols), FILTERS), dtype=np.float32)
         if want_places:
             places = np.empty((len(symbols), FILTERS), dtype=np.int64)
         for at in range(0, len(symbols), _BLOCK):
             block = symbols[at:at + _BLOCK]
-            response = np.take(table[0], block[:, starts], axis=0)
+            response = np.take(table[0], block[:, :n], axis=0)
             for k in range(1, WIDTH):
-                response += np.take(table[k], block[:, starts + k], axis=0)
+                response += np.take(table[k], block[:, k:k + n], axis=0)
             if want_places:
                 best = response.argmax(axis=1)
-                places[at:at + _BLOCK] = starts[best]
+                places[at:at + _BLOCK] = best
                 top[at:at + _BLOCK] = np.take_along_axis(response, best[:, None], axis=1)[:, 0]
             else:
                 top[at:at + _BLOCK] = response.max(axis=1)
