@@ -9,7 +9,7 @@ from quillrank.llm.shared import Scratch
 
 SAMPLES = 64
 WORD_BREAK = r"[\x20\x09-\x0D]+"
-_BLOCK = 8  # samples that one row draws
+_BLOCK = 2  # samples that one row draws
 _LOW = (1 << 32) - 1
 
 
