@@ -151,9 +151,9 @@ def _slices(batches):
 def _shares(
     docs: DataFrame, key: str, text: str, costs: dict[str, tuple[int, int]], share_chars: int
 ) -> DataFrame:
-    """``(share, script)``: consecutive texts of a task, about ``share_chars`` characters together,
-    as one packed row: keys, words per text (-1: null), the words of all texts as numbers, the distinct words in the
-    order of their numbers, and the pieces of long words."""
+    """``(share, script, words)``: consecutive texts of a task, about ``share_chars`` characters together,
+    as one packed row. ``script``: keys, words per text (-1: null), the words of all texts as numbers, and the pieces of
+    long words; ``words``: the distinct words in the order of their numbers, and which are long."""
     longest, pattern = max(map(len, costs)), word_pattern(costs)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,10 +167,13 @@ def _shares(
                 for i, word in enumerate(words) if len(word) > LONG_WORD
             }
             numbers = np.concatenate(texts) if texts else np.zeros(0, "<i4")
-            script = zstandard.compress(pickle.dumps((keys, sizes, _planes(numbers), words, long)))
+            columns = [
+                pa.array([zstandard.compress(pickle.dumps(told))], pa.binary())
+                for told in ((keys, sizes, _planes(numbers), long), (words, set(long)))
+            ]
             return pa.RecordBatch.from_arrays(
-                [pa.array([(task << 20) + count], pa.int64()), pa.array([script], pa.binary())],
-                ["share", "script"],
+                [pa.array([(task << 20) + count], pa.int64()), *columns],
+                ["share", "script", "words"],
             )
 
         def fresh():
@@ -197,17 +200,17 @@ def _shares(
             yield share()
 
     named = docs.select(F.col(key).cast("string").alias("id"), F.col(text).alias("text"))
-    return named.mapInArrow(split, "share long, script binary")
+    return named.mapInArrow(split, "share long, script binary, words binary")
 
 
-def _words(scripts: DataFrame) -> DataFrame:
+def _words(shares: DataFrame) -> DataFrame:
     """``(row)``: the distinct words of every share but the long ones, each behind its place, which is share and number
     in hex digits, and a space. One column, so that all readers of an exchange share it."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for share, script in zip(batch["share"].to_pylist(), batch["script"], strict=True):
-                words, long = pickle.loads(zstandard.decompress(script.as_py()))[3:]
+            for share, packed in zip(batch["share"].to_pylist(), batch["words"], strict=True):
+                words, long = pickle.loads(zstandard.decompress(packed.as_py()))
                 for first in range(0, len(words), _PACK_WORDS):
                     rows = [
                         f"{share:x}:{i:x} {word}"
@@ -216,7 +219,7 @@ def _words(scripts: DataFrame) -> DataFrame:
                     ]
                     yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["row"])
 
-    return scripts.mapInArrow(unpack, "row string")
+    return shares.mapInArrow(unpack, "row string")
 
 
 def _places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -279,7 +282,7 @@ def _put_together(byte_ids: tuple[int, ...]):
 
     def put_together(scripts: pa.Table, known: pa.Table) -> pa.Table:
         (script,) = scripts["script"].to_pylist()
-        keys, sizes, planes, _, long = pickle.loads(zstandard.decompress(script))
+        keys, sizes, planes, long = pickle.loads(zstandard.decompress(script))
         numbers = _numbers(planes)
         blocks = [
             [_numbers(part) for part in pickle.loads(zstandard.decompress(block))]
@@ -345,13 +348,13 @@ def encode(
     costs = piece_costs(table)
     # named, so that small partitions stay apart: what a lattice needs is many times its words
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scripts = Scratch(docs.sparkSession).bucketed(
+    shares = Scratch(docs.sparkSession).bucketed(
         "shares", _shares(docs, key, text, costs, share_chars), "share", parts
     )
     word, place = (F.expr(f"substring({at})") for at in (
         "row, instr(row, ' ') + 1", "row, 1, instr(row, ' ') - 1"
     ))
-    words = _words(scripts).repartition(parts, word).select(
+    words = _words(shares.select("share", "words")).repartition(parts, word).select(
         word.alias("word"), F.split(place, ":").alias("place")
     )
     segmented = _lattice(words.select("word").distinct(), costs)
@@ -359,6 +362,7 @@ def encode(
     known = words.join(segmented.hint("shuffle_hash"), "word").select(
         part.cast("long").alias("part"), at.cast("int").alias("at"), "ids"
     )
+    scripts = shares.select("share", "script")
     joined = scripts.groupBy("share").cogroup(_packed(known).groupBy("part"))
     kind = dict(docs.dtypes)[key]
     return joined.applyInArrow(
