@@ -12,6 +12,9 @@ from quillrank.llm.shared import Scratch, documents
 
 #: Tokens of the mixture per token that comes in.
 BUDGET_SHARE = 1.0
+#: Characters whose words are packed together: fewer than the encoder's own choice, as the workers of the stages before
+#: keep some memory.
+SHARE_CHARS = 4_000_000
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -52,7 +55,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, ids, decoded_sha256)`` of every document of the mixture."""
-    encoded = sentencepiece.encode(docs)
+    encoded = sentencepiece.encode(docs, share_chars=SHARE_CHARS)
     return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(sentencepiece.decode(F.col("ids")), 256).alias("decoded_sha256"),
