@@ -9,7 +9,6 @@ from quillrank.llm.shared import Scratch
 
 SAMPLES = 64
 WORD_BREAK = r"[\x20\x09-\x0D]+"
-_BLOCK = 2  # samples that one row draws
 _LOW = (1 << 32) - 1
 
 
@@ -19,11 +18,9 @@ def _uniform(bits: Column, shift: int, width: int = 26) -> Column:
     return (part + 0.5) * F.lit(1.0 / (1 << width))
 
 
-def draws(term: Column, number: Column) -> dict[str, Column]:
-    """What a sample draws for a term, whatever its weight: r and c from the gamma distribution of shape 2 (minus
-    the log of two uniforms each; of c the logarithm), b uniform, and a hash of term and sample."""
-    first = F.xxhash64(term, number * 2)
-    second = F.xxhash64(term, number * 2 + 1)
+def draws(first: Column, second: Column) -> dict[str, Column]:
+    """What a sample draws for a term, whatever its weight, from two hashes of term and sample: r and c from the gamma
+    distribution of shape 2 (minus the log of two uniforms each; of c the logarithm), b uniform, and a hash."""
     rest = F.shiftleft(F.shiftrightunsigned(first, 52), 12) + F.shiftrightunsigned(second, 52)
     return {
         "r": -F.ln(_uniform(first, 0) * _uniform(first, 26)),
@@ -43,7 +40,8 @@ def sample_key(log_weight: Column, drawn: dict[str, Column]) -> Column:
     of their generalised Jaccard similarity.
     """
     r, b = drawn["r"], drawn["b"]
-    t = F.floor(log_weight / r + b)
+    # a weight of one is in step 0, as b is below 1; most words of a text stand there once
+    t = F.when(log_weight == 0, F.lit(0).cast("long")).otherwise(F.floor(log_weight / r + b))
     ln_a = drawn["ln_c"] - r * (t - b + 1)
     # ln a lies between about -1,000 and 4; below -60 nothing more than order at the edge is lost
     scaled = ((F.greatest(ln_a, F.lit(-60.0)) + 60.0) * float(1 << 25)).cast("long")
@@ -51,64 +49,59 @@ def sample_key(log_weight: Column, drawn: dict[str, Column]) -> Column:
     return F.shiftleft(scaled, 32).bitwiseOR(mark)
 
 
-def sampled(
-    terms: DataFrame, keys: list[str], weights: tuple[str, ...] = ("weight",),
-    samples: int = SAMPLES,
-) -> DataFrame:
-    """``(<keys>, <weights>)`` from ``terms(<keys>, term, <weights>)``, terms as 64-bit hashes and
-    distinct per key; each column of weights gives the signature of one text, an array of ``samples`` numbers. Weights
-    that are null or not above zero do not take part; a key without any other has nulls for samples.
+def term_samples(term: Column, weight: Column, samples: int = SAMPLES) -> Column:
+    """The samples of a term that is not null with a weight above zero, an array."""
+    log_weight = F.ln(weight.cast("double"))
+    return F.array(*[
+        sample_key(log_weight, draws(F.xxhash64(term, F.lit(2 * i)), F.xxhash64(term, F.lit(2 * i + 1))))
+        for i in range(samples)
+    ])
+
+
+def sampled(terms: DataFrame, share: str, key: str, samples: int = SAMPLES) -> DataFrame:
+    """``(<share>, <key>, samples)`` from ``terms(<share>, <key>, term, weight)``, terms as 64-bit hashes and
+    distinct per key: the signature of every key, an array of ``samples`` numbers. A key whose terms or weights are
+    all null or not above zero has nulls for samples.
 
-    Draws are made once for all weights of a term. The number of a sample is a column, in blocks of a
-    few: an aggregate over small expressions is compiled, and what is grouped are minima.
+    The samples of a term depend on its weight alone, so they are drawn once per share, term and weight, and then
+    handed to the keys that hold it; what is left per key and term is a minimum. ``share`` says which keys draw
+    together: all rows of a key are in one share, and a share is what one task holds. Where rows are placed by share
+    nothing is exchanged. The keys gathered behind a term are at most those of the share.
     """
-    blocks = -(-samples // _BLOCK)
-    logs = [F.when(F.col(w) > 0, F.ln(F.col(w).cast("double"))).alias(w) for w in weights]
-    rows = terms.select(
-        *keys, "term", *logs, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    pairs = terms.groupBy(share, "term", "weight").agg(F.collect_list(key).alias("holders"))
+    # part of the result of an aggregate that gathers lists, which Spark compiles by methods: one a sample, not one for all
+    drawn = pairs.select(
+        share, "holders", (F.col("term").isNotNull() & (F.col("weight") > 0)).alias("taken"),
+        term_samples(F.col("term"), F.col("weight"), samples).alias("drawn"),
     )
-    names = ["r", "ln_c", "b", "hash"]
-    drawn = rows.select(*keys, "term", *weights, "block", *[
-        column.alias(f"{name}_{i}")
-        for i in range(_BLOCK)
-        for name, column in draws(F.col("term"), F.col("block") * _BLOCK + i).items()
+    held = drawn.select(share, F.explode("holders").alias(key), "taken", "drawn")
+    least = held.groupBy(share, key).agg(*[
+        F.min(F.when(F.col("taken"), F.get("drawn", F.lit(i)))).alias(f"least_{i}")
+        for i in range(samples)
     ])
-    least = drawn.groupBy(*keys, "block").agg(*[
-        F.min(F.when(F.col("term").isNotNull() & F.col(w).isNotNull(), sample_key(
-            F.col(w), {name: F.col(f"{name}_{i}") for name in names}
-        ))).alias(f"{w}_{i}")
-        for w in weights for i in range(_BLOCK)
-    ])
-    block = F.struct("block", *[
-        F.array(*[F.col(f"{w}_{i}") for i in range(_BLOCK)]).alias(w) for w in weights
-    ])
-    gathered = least.groupBy(*keys).agg(F.sort_array(F.collect_list(block)).alias("blocks"))
-
-    def joined(w: str) -> Column:
-        parts = F.transform("blocks", lambda x: x[w])
-        return F.slice(F.flatten(parts), 1, samples).alias(w)
-
-    return gathered.select(*keys, *map(joined, weights))
+    return least.select(
+        share, key, F.array(*[F.col(f"least_{i}") for i in range(samples)]).alias("samples")
+    )
 
 
 def signatures(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``(<keys>, sig_0 ... )`` from ``terms(<keys>, term, weight)``."""
-    return sampled(terms, keys, samples=samples).select(
-        *keys, *[F.get(F.col("weight"), F.lit(i)).alias(f"sig_{i}") for i in range(samples)]
+    """``(<keys>, sig_0 ... )`` from ``terms(<keys>, term, weight)``. Keys draw together by their hash."""
+    shares = 4 * int(terms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = terms.select(
+        F.pmod(F.xxhash64(*keys), F.lit(shares)).alias("share"), F.struct(*keys).alias("of"),
+        "term", "weight",
+    )
+    return sampled(placed, "share", "of", samples).select(
+        "of.*", *[F.get(F.col("samples"), F.lit(i)).alias(f"sig_{i}") for i in range(samples)]
     )
 
 
 def word_terms(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """``(<keys>, term, weight)``: how often each word stands in a text. Where a text begins or
     ends with white space, or has no word, there is a null term, which is never sampled."""
-    return _words(texts, keys, text).groupBy(*keys, "term").agg(
-        F.count(F.lit(1)).alias("weight")
-    )
-
-
-def _words(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     words = texts.select(*keys, F.explode(F.split(F.col(text), WORD_BREAK)).alias("word"))
-    return words.select(*keys, F.when(F.col("word") != "", F.xxhash64("word")).alias("term"))
+    terms = words.select(*keys, F.when(F.col("word") != "", F.xxhash64("word")).alias("term"))
+    return terms.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("weight"))
 
 
 def likeness(left: Column, right: Column, samples: int = SAMPLES) -> Column:
@@ -210,7 +203,7 @@ def fingerprint_edits(
     plain = docs.select(
         F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     follow = successors(plain, ranges, scratch)
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(
@@ -218,19 +211,18 @@ def fingerprint_edits(
         F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half),
     )
     row = ["range", "place"]
+    # a text and its edited form stand one after the other: at 2 * place and 2 * place + 1
     texts = follow.select(*row, F.posexplode(F.array("text", edited))).select(
-        *row, F.col("pos").alias("version"), F.col("col").alias("text")
-    )
-    terms = _words(texts, [*row, "version"]).groupBy(*row, "term").agg(
-        F.count_if(F.col("version") == 0).alias("own"),
-        F.count_if(F.col("version") == 1).alias("edited"),
+        "range", (F.col("place") * 2 + F.col("pos")).alias("at"), F.col("col").alias("text")
     )
-    by_place = Window.partitionBy("range").orderBy("place")
-    signed = sampled(terms, row, ("own", "edited"), samples).withColumn(
-        "next", F.lead("own").over(by_place)
+    signed = sampled(word_terms(texts, ["range", "at"]), "range", "at", samples)
+    by_at = Window.partitionBy("range").orderBy("at")
+    beside = signed.select(
+        "range", "at", F.col("samples").alias("own"), F.lead("samples").over(by_at).alias("edited"),
+        F.lead("samples", 2).over(by_at).alias("next"),
     )
     own = F.col("own")
-    compared = signed.select(
+    compared = beside.where("at % 2 = 0").withColumn("place", (F.col("at") / 2).cast("int")).select(
         *row, fingerprint(own).alias("fingerprint"),
         fingerprint(F.col("edited")).alias("edited_fingerprint"),
         likeness(own, F.col("edited"), samples).alias("near_edited"),
