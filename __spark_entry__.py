@@ -15,9 +15,10 @@ from pyspark.sql import functions as F  # noqa: E402
 import duck_oracle  # noqa: E402
 from quillrank.functions.porter import stem_word  # noqa: E402
 from quillrank.functions.text import content_tokens, tokenise  # noqa: E402
-from quillrank.functions.titles import near_title, title_distance  # noqa: E402
+from quillrank.functions.titles import title_distance  # noqa: E402
 from quillrank.operators import documents as docs  # noqa: E402
 from quillrank.operators import matching, ranking, scoring, stats  # noqa: E402
+from quillrank.operators.dedup import ruled_out  # noqa: E402
 from quillrank.plans import job  # noqa: E402
 from quillrank.plans.rank import PLACE, match_documents, rank_documents, search  # noqa: E402
 from quillrank.schema import CONTENT_FIELDS  # noqa: E402
@@ -297,17 +298,17 @@ def near_title_pairs(spark, sf_dir):
     """For every candidate, the kept results (at most ten) whose titles rule it out."""
     with Workspace(spark) as space:
         found = search(space, _query_list(spark), _articles(spark, sf_dir), fold_copies=False)
-        kept = found.select(
-            "original_query", F.col("doc_id").alias("kept_doc_id"),
+        kept = space.table("kept", found.select(
+            F.col("original_query").alias("query_id"), F.col("doc_id").alias("kept_doc_id"),
             F.col("title").alias("kept_title"),
-        )
+        ))
+        names = space.tables["queries"].select("query_id", "original_query")
         scored = scoring.document_scores(
             space.tables["matches"], space.tables["terms"], keys=(*PLACE, "row_id", "doc_id", "title")
-        ).join(space.tables["queries"].select("query_id", "original_query"), "query_id")
-        return space.result(scored.join(kept, "original_query").where(
-            (F.col("doc_id") != F.col("kept_doc_id"))
-            & near_title(F.col("title"), F.col("kept_title"))
-        ).select(F.col("original_query").alias("query_id"), "doc_id", "kept_doc_id"))
+        ).join(names, "query_id").select(
+            F.col("original_query").alias("query_id"), "doc_id", "title"
+        )
+        return space.result(ruled_out(scored, kept).select("query_id", "doc_id", "kept_doc_id"))
 
 
 def dedup_topk(spark, sf_dir):

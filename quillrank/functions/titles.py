@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillrank.schema import MIN_TITLE_DISTANCE
 
+# Functions of this module travel with the tasks, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+LONG_TITLE = 256   # two longer titles are compared faster by ``within_edits`` than by ``levenshtein``
+
 
 def title_distance(a: Column, b: Column) -> Column:
     """Edit distance over the longer length: 0 for equal titles, 1 for nothing in common.
@@ -28,6 +38,65 @@ def _most_edits(longer: Column, min_distance: float) -> Column:
     )
 
 
+def most_edits(a: Column, b: Column, min_distance: float = MIN_TITLE_DISTANCE) -> Column:
+    """With how many edits between them two titles are still near."""
+    return _most_edits(F.greatest(F.length(a), F.length(b)), float(min_distance))
+
+
+def lengths_allow(a: Column, b: Column, min_distance: float = MIN_TITLE_DISTANCE) -> Column:
+    """Necessary for two titles to be near: the difference in length, which is the least edit distance
+    that it allows."""
+    longer = F.greatest(F.length(a), F.length(b))
+    return (longer > 0) & (F.abs(F.length(a) - F.length(b)) / longer < float(min_distance))
+
+
+def edits_within(a: str, b: str, most: int) -> bool:
+    """Whether the edit distance is at most ``most``. A column of the usual table is one number of many
+    bits that say where it rises and falls (Myers, JACM 46(3), 1999), so a column costs a few operations on
+    numbers; the walk ends where the columns left cannot bring the distance down far enough."""
+    if len(a) < len(b):
+        a, b = b, a
+    if not b:
+        return len(a) <= most
+    at: dict[str, int] = {}
+    for char in set(b):
+        at[char] = int("".join("1" if c == char else "0" for c in reversed(a)), 2) if char in a else 0
+    size, left = len(a), len(b)
+    every, last, up, down, distance = (1 << size) - 1, 1 << (size - 1), (1 << size) - 1, 0, size
+    for char in b:
+        equal = at[char]
+        vertical = equal | down
+        across = (((equal & up) + up) ^ up) | equal
+        rises, falls = down | (every & ~(across | up)), up & across
+        if rises & last:
+            distance += 1
+        elif falls & last:
+            distance -= 1
+        left -= 1
+        if distance - left > most:
+            return False
+        rises = (rises << 1 | 1) & every
+        up = (falls << 1 & every) | (every & ~(vertical | rises))
+        down = rises & vertical
+    return distance <= most
+
+
+def within_edits(a: Column, b: Column, most: Column) -> Column:
+    """``edits_within`` of two columns; null where one is null."""
+
+    @F.pandas_udf("boolean")
+    def udf(
+        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]
+    ) -> Iterator[pd.Series]:
+        for columns in batches:
+            yield pd.Series([
+                edits_within(x, y, int(n)) if isinstance(x, str) and isinstance(y, str) else None
+                for x, y, n in zip(*columns, strict=True)
+            ], dtype=object)
+
+    return udf(a, b, most)
+
+
 def near_title(a: Column, b: Column, min_distance: float = MIN_TITLE_DISTANCE) -> Column:
     """True when ``title_distance(a, b) < min_distance``.
 

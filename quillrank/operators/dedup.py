@@ -20,7 +20,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.functions.titles import near_title
+from quillrank.functions.titles import (
+    LONG_TITLE,
+    lengths_allow,
+    most_edits,
+    near_title,
+    within_edits,
+)
 from quillrank.operators.ranking import PARTS, SCORE_DIGITS, part_of, top_ranked
 from quillrank.schema import MIN_TITLE_DISTANCE, TOP_K
 
@@ -32,6 +38,7 @@ WINDOW = 200
 # stretch is passed over while it holds less than a few windows. The last is everything.
 _SHARES = (1 / 4096, 1 / 512, 1 / 64, 1 / 8)
 _MIN_WINDOWS = 4
+_TASKS_PER_CORE = 8   # where a task's work follows the square of some lengths, not its rows
 
 
 def _walk(ranked: Column, kept: Column, k: int, min_distance: float) -> Column:
@@ -83,6 +90,30 @@ def fold_window(
     )
 
 
+def ruled_out(
+    candidates: DataFrame, kept: DataFrame, min_distance: float = MIN_TITLE_DISTANCE
+) -> DataFrame:
+    """``candidates(query_id, doc_id, title)`` beside every other result of their query in ``kept(query_id,
+    kept_doc_id, kept_title)``, a bounded number, whose title is too close to theirs.
+
+    The kept titles go to the candidates, so that a query is not one task. Few bytes but much work, as in
+    ``fold_window``: the number of tasks is fixed. Two long titles are compared by ``within_edits``."""
+    if min_distance <= 0:
+        return candidates.join(F.broadcast(kept), "query_id").where(F.lit(False))
+    tasks = _TASKS_PER_CORE * candidates.sparkSession.sparkContext.defaultParallelism
+    a, b = F.col("title"), F.col("kept_title")
+    pairs = candidates.repartition(tasks, "query_id", "doc_id").join(
+        F.broadcast(kept), "query_id"
+    ).where((F.col("doc_id") != F.col("kept_doc_id")) & lengths_allow(a, b, min_distance))
+    long = (F.least(F.length(a), F.length(b)) > LONG_TITLE) & (a != b)
+    near_long = within_edits(
+        F.when(long, a), F.when(long, b), F.when(long, most_edits(a, b, min_distance))
+    )
+    return pairs.withColumn("near_long", near_long).where(
+        F.when(long, F.col("near_long")).otherwise(near_title(a, b, min_distance))
+    ).drop("near_long")
+
+
 def stretch_bounds(scores: DataFrame, size: int = WINDOW) -> DataFrame:
     """``(query_id, bounds)``: the scores down to which further rounds look, one after the
     other, ending with minus infinity. Sketches only: a bound that is a little off makes a
@@ -130,11 +161,11 @@ def survivors(
         .where(F.round("score", SCORE_DIGITS) >= F.round("bound", SCORE_DIGITS))
         .drop("bound")
     )
-    ruled_out = F.exists("kept", lambda d: d["row_id"] == F.col("row_id")) | _close_to_any(
+    out = F.exists("kept", lambda d: d["row_id"] == F.col("row_id")) | _close_to_any(
         F.col("kept"), F.col("title"), min_distance
     )
     titled = with_titles(stretch).join(state.drop("bound"), ["query_id", "part"])
-    return titled.where(~ruled_out).drop("kept", "part")
+    return titled.where(~out).drop("kept", "part")
 
 
 def distinct_top(

@@ -5,9 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quillrank.operators.dedup import distinct_top, kept_rows
+from quillrank.functions.titles import LONG_TITLE, edits_within
+from quillrank.operators.dedup import distinct_top, kept_rows, ruled_out
 
-from helpers import greedy
+from helpers import edit_distance, greedy, near
 
 SCHEMA = "query_id string, row_id bigint, doc_id string, score double, title string"
 
@@ -121,3 +122,35 @@ def test_a_stretch_does_not_split_equal_places(spark, tmp_path):
 def test_no_candidates(spark, tmp_path):
     found, rounds = run(spark, [], tmp_path)
     assert found == {} and rounds == 1
+
+
+def test_long_titles_are_compared_with_the_same_answer(spark):
+    rng = random.Random(3)
+    rows = []
+    for size in (1, 40, LONG_TITLE, LONG_TITLE + 1, 700):
+        a = "".join(rng.choice("abcdé ") for _ in range(size))
+        for share in (0.0, 0.45, 0.55, 1.0):
+            b = "".join(c for c in a if rng.random() >= share) + "x" * rng.randint(0, size // 4)
+            rows += [(f"a{len(rows)}", a, b), (f"b{len(rows)}", b, a)]
+    for _, a, b in rows:
+        d = edit_distance(a, b)
+        assert [edits_within(a, b, most) for most in (d - 1, d, d + 1)] == [False, True, True]
+    queries = [(str(i), doc_id, a, b) for i, (doc_id, a, b) in enumerate(rows)]
+    frame = spark.createDataFrame(queries, "query_id string, doc_id string, title string, other string")
+    candidates = frame.select("query_id", "doc_id", "title")
+    kept = frame.select("query_id", F.lit("kept").alias("kept_doc_id"), F.col("other").alias("kept_title"))
+    found = {r.doc_id for r in ruled_out(candidates, kept).collect()}
+    assert found == {doc_id for doc_id, a, b in rows if near(a, b)}
+    assert 0 < len(found) < len(rows)
+
+
+def test_one_query_is_ruled_out_in_many_tasks(spark):
+    candidates = spark.range(3000).select(
+        F.lit("q").alias("query_id"), F.col("id").cast("string").alias("doc_id"),
+        F.lit("one title").alias("title"),
+    )
+    kept = spark.createDataFrame(
+        [("q", "0", "one title")], "query_id string, kept_doc_id string, kept_title string"
+    )
+    sizes = ruled_out(candidates, kept).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 10 and sum(r["count"] for r in sizes) == 2999
