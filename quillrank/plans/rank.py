@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.functions.text import STOPWORDS, TOKEN_PATTERN
+from quillrank.operators.blocks import best_in_blocks
 from quillrank.operators.dedup import WINDOW, distinct_top, kept_rows
 from quillrank.operators.documents import document_matches
 from quillrank.operators.matching import query_postings
@@ -24,6 +25,10 @@ from quillrank.sources.workspace import Workspace
 PLACE = ["mark", "mark_2"]
 
 
+# From so many queries on, they meet the documents in blocks.
+BLOCK_QUERIES = 64
+
+
 def match_table_rows(matches: DataFrame) -> DataFrame:
     """``document_matches`` reduced to what later steps read: every document keeps its length
     (it counts in the statistics), only those with a match keep id and title. ``row_id``
@@ -126,7 +131,7 @@ def search(
     max_paragraphs: int = MAX_PARAGRAPHS,
     token_pattern: str = TOKEN_PATTERN,
     stopwords: Iterable[str] = STOPWORDS,
-    window: int = WINDOW,
+    window: int | None = None,
     fold_copies: bool = True,
 ) -> DataFrame:
     """The rankings as rows that are read from the tables of ``space``.
@@ -134,10 +139,12 @@ def search(
     ``queries`` has one ``original_query`` per row, ``articles`` the columns ``id, title,
     contents``. The articles are read once. That pass leaves a narrow table of matches,
     bucketed by row; statistics, scores, ranks and titles all come from it. Inside, a query is
-    a number (fixed by writing the query table), so that long queries do not make wide keys. ``fold_copies``
+    a number (fixed by writing the query table), so that long queries do not make wide keys. ``window`` is twenty
+    rows a result, 200 at most, where none is given. ``fold_copies``
     changes no ranking; without it the table of matches has a row for every document.
     """
     stopwords = tuple(stopwords)
+    window = window or min(WINDOW, 20 * k)
     parsed = parse_queries(distinct_queries(queries), token_pattern, stopwords)
     parsed = space.table(
         "queries", parsed.withColumn("query_id", F.monotonically_increasing_id())
@@ -163,8 +170,10 @@ def search(
         open_terms = terms.join(open_queries.select("query_id"), "query_id", "left_semi")
         return document_scores(matches, open_terms, ratio, keys)
 
+    many = parsed.limit(BLOCK_QUERIES).count() >= BLOCK_QUERIES
     kept = distinct_top(
-        document_scores(matches, terms, ratio, keys),
+        best_in_blocks(matches, terms, space.table, window, ratio, keys) if many
+        else document_scores(matches, terms, ratio, keys),
         with_titles,
         scores_of,
         space.table,
