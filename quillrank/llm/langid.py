@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.llm.pieces import MODEL_PATH, SPACE, load_pieces
-from quillrank.llm.shared import Scratch, bounded_share, chunks
+from quillrank.llm.shared import Scratch, bounded_share, chunks, give_back, tidy
 
 UNDETERMINED = "und"
 TRAIN_DOCS_PER_LANG = 2000   # bound of the training sample, in expectation
@@ -175,6 +175,7 @@ def train(
     def words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([words_of(text) for text in texts])
+        give_back()
 
     counts = scratch.table(
         "word-counts",
@@ -201,7 +202,7 @@ def train(
             yield pd.DataFrame({"piece": ids, "lang": column, "n": total[ids, column]})
 
         summed = (
-            counts.mapInPandas(expect, "piece long, lang long, n double")
+            counts.mapInPandas(tidy(expect), "piece long, lang long, n double")
             .groupBy("piece", "lang").agg(F.sum("n").alias("n"))
         ).toPandas()
         table = np.full_like(probabilities, SMOOTHING)
@@ -254,6 +255,7 @@ def predict(model: LanguageModel | None, text: Column) -> Column:
                         langs[start + i] = model.langs[best[i]]
                         scores[start + i] = shares[i, best[i]]
             yield pd.DataFrame({"lang": langs, "score": scores})
+        give_back()
 
     return udf.asNondeterministic()(text)
 

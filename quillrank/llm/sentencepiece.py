@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.llm.pieces import MODEL_PATH, SPACE, PieceTable, load_pieces
-from quillrank.llm.shared import Scratch
+from quillrank.llm.shared import Scratch, give_back, tidy
 
 LONG_WORD = 256       # longer words take the row-wise form of the same search
 SHARE_CHARS = 8_000_000   # about how many characters of text share one list of words
@@ -200,7 +200,7 @@ def _shares(
             yield share()
 
     named = docs.select(F.col(key).cast("string").alias("id"), F.col(text).alias("text"))
-    return named.mapInArrow(split, "share long, script binary, words binary")
+    return named.mapInArrow(tidy(split), "share long, script binary, words binary")
 
 
 def _words(shares: DataFrame) -> DataFrame:
@@ -219,7 +219,7 @@ def _words(shares: DataFrame) -> DataFrame:
                     ]
                     yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["row"])
 
-    return shares.mapInArrow(unpack, "row string")
+    return shares.mapInArrow(tidy(unpack), "row string")
 
 
 def _places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -270,7 +270,7 @@ def _packed(known: DataFrame) -> DataFrame:
         if count:
             yield packed(pa.Table.from_batches(waiting))
 
-    return known.mapInArrow(pack, "part long, words binary")
+    return known.mapInArrow(tidy(pack), "part long, words binary")
 
 
 def _put_together(byte_ids: tuple[int, ...]):
@@ -324,7 +324,12 @@ def _put_together(byte_ids: tuple[int, ...]):
             first, taken = last, ends[last - 1]
         return pa.concat_tables(tables)
 
-    return put_together
+    def tidied(scripts: pa.Table, known: pa.Table) -> pa.Table:
+        table = put_together(scripts, known)
+        give_back()
+        return table
+
+    return tidied
 
 
 def encode(
@@ -371,26 +376,16 @@ def encode(
 
 
 def decode(ids: Column, path: str = MODEL_PATH) -> Column:
-    """The text of a column of piece ids, byte pieces joined; null for null."""
+    """The text of a column of piece ids, byte pieces joined; null for null.
+
+    Column functions alone: the stage that puts the ids together has Python workers already, and a second
+    pair beside them counts in an executor's memory. Pieces are hex digits on the way, as bytes of one
+    character may stand in several."""
     model = load_pieces(path)
     of_id = {p.id: p.text.replace(SPACE, " ").encode() for p in model.pieces}
     of_id |= {i: bytes([b]) for b, i in enumerate(model.byte_ids)}
-
-    def texts(part: pa.ListArray) -> Iterator[str | None]:
-        spelled = [of_id[i] for i in part.flatten().to_numpy().tolist()]
-        first = 0
-        for n in pc.list_value_length(part).to_pylist():
-            if n is None:
-                yield None
-            else:
-                yield b"".join(spelled[first:first + n]).decode("utf-8", "replace")[1:]
-                first += n
-
-    @F.arrow_udf("string")
-    def udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.concat_arrays([
-                pa.array(texts(part), pa.string()) for part in _slices([batch])
-            ] or [pa.array([], pa.string())])
-
-    return udf(ids)
+    digits = " ".join(of_id.get(i, b"").hex() for i in range(max(of_id) + 1))
+    pieces = F.split(F.lit(digits), " ")   # folded to a constant
+    spelled = F.array_join(F.transform(ids, lambda i: F.element_at(pieces, i + 1)), "")
+    text = F.make_valid_utf8(F.unhex(spelled).cast("string"))
+    return F.substring(text, F.lit(2), F.length(text))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,3 +87,21 @@ def chunks(texts: list[str], limit: int = 4_000_000):
         size += len(text)
     if start < len(texts):
         yield start, len(texts)
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system. A Python worker is kept for later tasks, and what its
+    allocators hold on to counts beside what the tasks of the next stage need."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, and ``give_back`` when its frame is gone."""
+    def tidied(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return tidied

@@ -341,3 +341,12 @@ def test_edited_texts(spark):
     odd = odd_docs(spark)
     assert cws.fingerprint_edits(odd).count() == odd.count()
     assert cws.fingerprint_edits(odd.where("false")).count() == 0
+
+
+def test_decode_needs_no_python_worker(spark):
+    table = pieces.load_pieces()
+    ids = [[table.byte_ids[b] for b in " aé\U0001f600".encode()], [table.byte_ids[b] for b in b" x\xc3y"], [], None]
+    rows = spark.createDataFrame([(i,) for i in ids], "ids array<int>")
+    decoded = rows.select(sentencepiece.decode(F.col("ids")))
+    assert [r[0] for r in decoded.collect()] == ["aé\U0001f600", "x�y", "", None]
+    assert "Python" not in decoded._jdf.queryExecution().executedPlan().toString()
