@@ -136,6 +136,14 @@ def stem_words(words: Column) -> Column:
     return words
 
 
+def may_change(word: str) -> str:
+    """False for words that are their own stems, as they end like nothing that a rule looks at or have two
+    letters at most; a condition as text. A word that the first rules leave alone reaches the next ones as it is."""
+    endings = {suffix[-2:] for suffix, _ in (*_STEP_2, *_STEP_3)} | {suffix[-2:] for suffix in _STEP_4}
+    two = is_one_of(f"right({word}, 2)", sorted(endings | {"ed", "ng", "ll"}))
+    return f"length({word}) > 2 AND (right({word}, 1) IN ('s', 'y', 'e') OR {two})"
+
+
 def stem_word(word: Column) -> Column:
     """Stem one lower-case word."""
     return F.get(stem_words(F.array(word)), F.lit(0))

@@ -7,7 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillrank.functions.porter import stem_words
+from quillrank.functions.porter import may_change, stem_words
+from quillrank.functions.sqltext import keep_items
 from quillrank.functions.text import STOPWORDS, TOKEN_PATTERN, content_tokens, count_runs
 from quillrank.operators.sieve import TermSieve
 from quillrank.schema import MAX_PARAGRAPHS, PARAGRAPH
@@ -69,10 +70,12 @@ def document_matches(
 
     With a ``sieve``, tokens that cannot stem to one of its terms are dropped before stemming,
     and most other terms after it; what is left besides the terms of the sieve does no harm, as
-    terms are selected by a join. Without one, every term is there.
+    terms are selected by a join. Without one, every term is there. Tokens that are their own stems meet the
+    sieve as terms and pass no rule; where they stand among the others does not matter, as terms are sorted.
     """
-    tokens = F.col("tokens")
-    stems = stem_words(F.filter(tokens, sieve.may_stem_to_term) if sieve else tokens)
+    own = keep_items(F.col("tokens"), f"NOT ({may_change('x')})")
+    other = keep_items(F.col("tokens"), may_change("x"))
+    stems = F.concat(own, stem_words(F.filter(other, sieve.may_stem_to_term) if sieve else other))
     counted = document_tokens(articles, **options).select(
         "doc_id",
         "title",
