@@ -68,7 +68,8 @@ def sampled(terms: DataFrame, share: str, key: str, samples: int = SAMPLES) -> D
     together: all rows of a key are in one share, and a share is what one task holds. Where rows are placed by share
     nothing is exchanged. The keys gathered behind a term are at most those of the share.
     """
-    pairs = terms.groupBy(share, "term", "weight").agg(F.collect_list(key).alias("holders"))
+    # the share is last: rows are sorted for the lists, first by a prefix of the first column, and a task has few shares
+    pairs = terms.groupBy("term", "weight", share).agg(F.collect_list(key).alias("holders"))
     # part of the result of an aggregate that gathers lists, which Spark compiles by methods: one a sample, not one for all
     drawn = pairs.select(
         share, "holders", (F.col("term").isNotNull() & (F.col("weight") > 0)).alias("taken"),

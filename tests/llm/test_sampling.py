@@ -90,3 +90,10 @@ def test_shares_do_not_change_signatures(spark):
         ).collect()} for parts in (1, 5)
     )
     assert one == many and len(one) == 12
+
+
+def test_lists_are_sorted_by_term_first(spark):
+    """The sort behind the lists compares a prefix of the first column, which a share does not tell apart."""
+    frame = spark.createDataFrame([(0, 1, 5, 2)], "part int, name int, term long, weight long")
+    plan = cws.sampled(frame, "part", "name", 4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [term" in plan
