@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pickle
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -24,6 +25,7 @@ _PACK_WORDS = 200_000     # words whose pieces are packed at a time
 _BARE = 1 << 21       # above all ids; code points without a piece are counted from here
 _STEP_WORDS = 250_000     # words of a share that become pieces at a time
 _SLICE = 200
+_BINS = 16            # parts of the words for each partition, so that partitions get about as many
 _COST_BITS = 16       # costs are whole numbers of 1 / 2 ** 16, so sums are exact
 _BYTE_COST = 14 << _COST_BITS   # of a byte that no piece covers
 
@@ -79,7 +81,7 @@ def best_pieces(word: str, costs: dict[str, tuple[int, int]], longest: int) -> l
 
 
 def _lattice(words: DataFrame, costs: dict[str, tuple[int, int]]) -> DataFrame:
-    """``(word, ids)`` of the distinct words in ``words(word)``; an id below zero is minus one minus
+    """``(word, ids, places)`` of ``words(bin, word, places)``, distinct words; an id below zero is minus one minus
     a code point that no piece covers. The pieces of a row spell its word.
 
     The substrings of a word, up to the longest piece, meet the piece table on equal terms.
@@ -87,9 +89,9 @@ def _lattice(words: DataFrame, costs: dict[str, tuple[int, int]]) -> DataFrame:
     to right. The state of the fold is the best way to each position so far, its cost and last
     piece: edges come by end, so an edge concerns the last position or the next. A second fold walks
     back from the end and spells the pieces.
-    The table is a fixed vocabulary, so it is broadcast. ``words`` are placed by word already, so
-    neither the grouping nor the fold exchanges anything; as they are sorted, the grouping meets
-    its edges in order. An edge is one number, read from its highest bits: end (10), cost (22), size (9) and
+    The table is a fixed vocabulary, so it is broadcast. ``words`` are placed by bin already, which
+    follows from the word, so neither the grouping nor the fold exchanges anything; as they are sorted, the grouping meets
+    its edges in order. Places go with the first edge of a word alone. An edge is one number, read from its highest bits: end (10), cost (22), size (9) and
     what it writes (22), which is the id of a piece or, from ``_BARE`` on, a code point without one. A
     way is the same with its whole cost in front, so the smaller number is the better way.
     """
@@ -98,17 +100,17 @@ def _lattice(words: DataFrame, costs: dict[str, tuple[int, int]]) -> DataFrame:
         (piece, (cost << 31) + i) for piece, (i, cost) in costs.items()
     ], "piece string, says long")
     ends = words.sortWithinPartitions("word").select(
-        "word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("end")
+        "bin", "word", "places", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("end")
     )
-    spans = ends.select("word", "end", F.explode(
+    spans = ends.select("bin", "word", "places", "end", F.explode(
         F.sequence(F.lit(1), F.least(F.lit(longest), F.col("end")))
     ).alias("size")).select(
-        "word", "end", "size",
+        "bin", "word", "end", "size", F.when(F.col("end") == 1, F.col("places")).alias("places"),
         F.substring(F.col("word"), F.col("end") - F.col("size") + 1, F.col("size")).alias("piece"),
     )
     matched = spans.join(F.broadcast(pieces), "piece", "left").where("says is not null or size = 1")
     bare = F.octet_length("piece") * F.lit(_BYTE_COST << 31) + F.ascii("piece") + F.lit(_BARE)
-    edges = matched.select("word", (
+    edges = matched.select("bin", "word", "places", (
         F.shiftleft(F.col("end").cast("long"), 53) + F.shiftleft(F.col("size").cast("long"), 22)
         + F.coalesce("says", bare)
     ).alias("edge"))
@@ -131,14 +133,16 @@ def _lattice(words: DataFrame, costs: dict[str, tuple[int, int]]) -> DataFrame:
             (end - size(way)).alias("at"), F.concat(F.array(piece), state["ids"]).alias("ids")
         )).otherwise(state)
 
-    grouped = edges.groupBy("word").agg(F.collect_list("edge").alias("edges"))
-    folded = grouped.select("word", F.aggregate(
+    grouped = edges.groupBy("word", "bin").agg(
+        F.collect_list("edge").alias("edges"), F.first("places", ignorenulls=True).alias("places")
+    )
+    folded = grouped.select("word", "places", F.aggregate(
         F.sort_array("edges"), F.array(F.lit(0).cast("long")), follow
     ).alias("ways"))
     length = F.length("word")
     last = F.struct(length.alias("at"), F.array().cast("array<int>").alias("ids"))
     ids = F.aggregate(F.sequence(length, F.lit(1), F.lit(-1)), last, walk_back)["ids"]
-    return folded.select("word", ids.alias("ids"))
+    return folded.select("word", ids.alias("ids"), "places")
 
 
 def _slices(batches):
@@ -149,11 +153,12 @@ def _slices(batches):
 
 
 def _shares(
-    docs: DataFrame, key: str, text: str, costs: dict[str, tuple[int, int]], share_chars: int
+    docs: DataFrame, key: str, text: str, costs: dict[str, tuple[int, int]], share_chars: int, bins: int
 ) -> DataFrame:
     """``(share, script, words)``: consecutive texts of a task, about ``share_chars`` characters together,
-    as one packed row. ``script``: keys, words per text (-1: null), the words of all texts as numbers, and the pieces of
-    long words; ``words``: the distinct words in the order of their numbers, and which are long."""
+    as one packed row. ``script``: keys, words per text (-1: null), the words of all texts as numbers, the pieces of
+    long words, and the bin of every word (``bins``: long); ``words``: the distinct words but the long ones by bin, in a
+    bin by number, with the bins and how many words each has."""
     longest, pattern = max(map(len, costs)), word_pattern(costs)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,9 +172,18 @@ def _shares(
                 for i, word in enumerate(words) if len(word) > LONG_WORD
             }
             numbers = np.concatenate(texts) if texts else np.zeros(0, "<i4")
+            bin_of = np.fromiter((
+                bins if i in long else zlib.crc32(word.encode("utf-8", "surrogatepass")) % bins
+                for i, word in enumerate(words)
+            ), "<i4", len(words))
+            placed = _by_bin(bin_of)[:len(words) - len(long)]
+            found, counts = np.unique(bin_of[placed], return_counts=True)
             columns = [
                 pa.array([zstandard.compress(pickle.dumps(told))], pa.binary())
-                for told in ((keys, sizes, _planes(numbers), long), (words, set(long)))
+                for told in (
+                    (keys, sizes, _planes(numbers), long, _planes(bin_of)),
+                    (found.tolist(), counts.tolist(), [words[i] for i in placed]),
+                )
             ]
             return pa.RecordBatch.from_arrays(
                 [pa.array([(task << 20) + count], pa.int64()), *columns],
@@ -204,22 +218,30 @@ def _shares(
 
 
 def _words(shares: DataFrame) -> DataFrame:
-    """``(row)``: the distinct words of every share but the long ones, each behind its place, which is share and number
-    in hex digits, and a space. One column, so that all readers of an exchange share it."""
+    """``(bin, share, at, words)``: the distinct words of every share but the long ones, one row for a share and a bin. The
+    place of the first one in the share's order is ``at``. Words stand in lines; no word holds a line feed but the
+    line feed itself, which is an empty line."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for share, packed in zip(batch["share"].to_pylist(), batch["words"], strict=True):
-                words, long = pickle.loads(zstandard.decompress(packed.as_py()))
-                for first in range(0, len(words), _PACK_WORDS):
-                    rows = [
-                        f"{share:x}:{i:x} {word}"
-                        for i, word in enumerate(words[first:first + _PACK_WORDS], first)
-                        if i not in long
-                    ]
-                    yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], ["row"])
+                bins, counts, words = pickle.loads(zstandard.decompress(packed.as_py()))
+                firsts = [0, *np.cumsum(counts).tolist()]
+                lines = [
+                    "\n".join("" if word == "\n" else word for word in words[first:last])
+                    for first, last in zip(firsts, firsts[1:])
+                ]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(bins, pa.int32()), pa.array([share] * len(bins), pa.int64()),
+                    pa.array(firsts[:-1], pa.int32()), pa.array(lines, pa.string()),
+                ], ["bin", "share", "at", "words"])
+
+    return shares.mapInArrow(tidy(unpack), "bin int, share long, at int, words string")
+
 
-    return shares.mapInArrow(tidy(unpack), "row string")
+def _by_bin(bins: np.ndarray) -> np.ndarray:
+    """The numbers of words by bin, in a bin ascending."""
+    return np.argsort(bins, kind="stable")
 
 
 def _places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -282,14 +304,14 @@ def _put_together(byte_ids: tuple[int, ...]):
 
     def put_together(scripts: pa.Table, known: pa.Table) -> pa.Table:
         (script,) = scripts["script"].to_pylist()
-        keys, sizes, planes, long = pickle.loads(zstandard.decompress(script))
+        keys, sizes, planes, long, bins = pickle.loads(zstandard.decompress(script))
         numbers = _numbers(planes)
         blocks = [
             [_numbers(part) for part in pickle.loads(zstandard.decompress(block))]
             for block in known["words"].to_pylist()
         ]
         none = [np.zeros(0, "<i4")]
-        at = np.concatenate([np.cumsum(block[0]) for block in blocks] or none)
+        at = _by_bin(_numbers(bins))[np.concatenate([np.cumsum(block[0]) for block in blocks] or none)]
         lengths = np.concatenate([block[1] for block in blocks] or none)
         flat = np.concatenate([block[2] for block in blocks] or none)
         starts = np.cumsum(lengths) - lengths
@@ -344,7 +366,7 @@ def encode(
     numbered in shares of about ``share_chars`` characters (or one longer text); no text is
     exchanged. The shares are written to the shared folder, by the hash of their number, and read from there, so a lost
     executor changes nothing in them. Their distinct words are placed by
-    word; every distinct word of all texts is segmented once, there, and its pieces go to the shares
+    bins that follow from the word, many of a share in one row; every distinct word of all texts is segmented once, there, and its pieces go to the shares
     that hold it, packed: a frequent word is one narrow row per share, whatever its count. A word of more
     than LONG_WORD characters is segmented in its share, by the same search. The key is a number
     or a string.
@@ -354,18 +376,17 @@ def encode(
     # named, so that small partitions stay apart: what a lattice needs is many times its words
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = Scratch(docs.sparkSession).bucketed(
-        "shares", _shares(docs, key, text, costs, share_chars), "share", parts
+        "shares", _shares(docs, key, text, costs, share_chars, _BINS * parts), "share", parts
     )
-    word, place = (F.expr(f"substring({at})") for at in (
-        "row, instr(row, ' ') + 1", "row, 1, instr(row, ' ') - 1"
-    ))
-    words = _words(shares.select("share", "words")).repartition(parts, word).select(
-        word.alias("word"), F.split(place, ":").alias("place")
+    lines = _words(shares.select("share", "words")).repartition(parts, "bin").select(
+        "bin", "share", "at", F.posexplode(F.split("words", "\n")).alias("line", "word")
     )
-    segmented = _lattice(words.select("word").distinct(), costs)
-    part, at = (F.conv(F.col("place")[i], 16, 10) for i in range(2))
-    known = words.join(segmented.hint("shuffle_hash"), "word").select(
-        part.cast("long").alias("part"), at.cast("int").alias("at"), "ids"
+    words = lines.select(
+        F.when(F.col("word") == "", "\n").otherwise(F.col("word")).alias("word"), "bin",
+        F.struct("share", (F.col("at") + F.col("line")).alias("at")).alias("place"),
+    ).groupBy("word", "bin").agg(F.collect_list("place").alias("places"))
+    known = _lattice(words, costs).select("ids", F.explode("places").alias("place")).select(
+        F.col("place.share").alias("part"), "place.at", "ids"
     )
     scripts = shares.select("share", "script")
     joined = scripts.groupBy("share").cogroup(_packed(known).groupBy("part"))

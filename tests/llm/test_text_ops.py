@@ -350,3 +350,25 @@ def test_decode_needs_no_python_worker(spark):
     decoded = rows.select(sentencepiece.decode(F.col("ids")))
     assert [r[0] for r in decoded.collect()] == ["aé\U0001f600", "x�y", "", None]
     assert "Python" not in decoded._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_of_a_share_are_exchanged_in_few_rows(spark):
+    table = pieces.load_pieces()
+    costs = sentencepiece.piece_costs(table)
+    longest = max(map(len, costs))
+    texts = [" ".join(f"w{chr(97 + i % 26)}{chr(0x4e00 + i)}" for i in range(900)), "a\n\n b\n", "\n", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    shares = sentencepiece._shares(docs, "doc_id", "text", costs, 10 ** 6, 4).collect()
+    rows = sentencepiece._words(spark.createDataFrame(shares, "share long, script binary, words binary")).collect()
+    words = [line or "\n" for r in rows for line in r.words.split("\n")]
+    assert len(rows) <= 4 * len(shares) and len(words) == len(set(words)) > 900
+    found = {r.doc_id: r.ids for r in sentencepiece.encode(docs).collect()}
+    for i, text in enumerate(texts):
+        if text is None:
+            assert found[i] is None
+            continue
+        plain = []
+        for word in re.findall(sentencepiece.word_pattern(costs), " " + text):
+            for piece in sentencepiece.best_pieces(word, costs, longest):
+                plain += [piece] if piece >= 0 else [table.byte_ids[b] for b in chr(-1 - piece).encode()]
+        assert found[i] == plain
