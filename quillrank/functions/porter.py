@@ -194,3 +194,25 @@ def may_stem(word: Column, has: Callable[[str, Column], Column]) -> Column:
     for n in range(2, _PREFIX + 1):
         longer = longer | has("start", F.left(word, F.lit(n)))
     return has("two", F.left(word, F.lit(2))) & longer
+
+
+def _sure_prefix(stem: str) -> str:
+    sure = stem[:-1] if stem.endswith(("e", "i", "bl")) else stem
+    return (sure or stem)[:_PREFIX]
+
+
+def may_stem_to(stems: Iterable[str]) -> str:
+    """Condition as text over ``x``, necessary for the stem of ``x`` to be one of ``stems``, for a few stems
+    that are known beforehand: the word starts like one of them."""
+    words: set[str] = set()
+    by_length: dict[int, set[str]] = {}
+    for stem in stems:
+        if set(stem) & set("aeiouy"):
+            prefix = _sure_prefix(stem)
+            by_length.setdefault(len(prefix), set()).add(prefix)
+        else:
+            words.update((stem, stem + "s", stem + "es"))
+    tests = [is_one_of(f"left(x, {n})", sorted(by_length[n])) for n in sorted(by_length)]
+    if words:
+        tests.append(is_one_of("x", sorted(words)))
+    return f"({' OR '.join(tests)})" if tests else "false"
