@@ -40,3 +40,17 @@ def dph_term_score(
     norm = (1.0 - f) * (1.0 - f) / (tf + 1.0)
     gain = log2((tf * avgdl / dl) * corpus_ratio(n_docs, cf, ratio))
     return norm * (tf * gain + 0.5 * log2(2.0 * math.pi * tf * (1.0 - f)))
+
+
+def dph_parts(tf: Column, dl: Column, avgdl: Column) -> tuple[Column, Column]:
+    """``(slope, rest)`` with ``dph_term_score = slope * ratio_gain + rest`` (but for the last bits): what the
+    document says of it, without the corpus frequency of the term."""
+    f = relative_frequency(tf, dl)
+    norm = (1.0 - f) * (1.0 - f) / (tf + 1.0)
+    own = tf * log2(tf * avgdl / dl)
+    return norm * tf, norm * (own + 0.5 * log2(2.0 * math.pi * tf * (1.0 - f)))
+
+
+def ratio_gain(n_docs: Column, cf: Column, ratio: str = "floor") -> Column:
+    """What the term says of it: minus infinity for a term with a ``corpus_ratio`` of 0."""
+    return log2(corpus_ratio(n_docs, cf, ratio))

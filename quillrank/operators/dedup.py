@@ -118,10 +118,20 @@ def stretch_bounds(scores: DataFrame, size: int = WINDOW) -> DataFrame:
     """``(query_id, bounds)``: the scores down to which further rounds look, one after the
     other, ending with minus infinity. Sketches only: a bound that is a little off makes a
     stretch longer or shorter, not wrong."""
-    shares = [1.0 - share for share in _SHARES]
-    sketch = scores.groupBy("query_id").agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("score", shares).alias("cuts")
-    )
+    above = [1.0 - share for share in _SHARES]
+    return bounds_from_cuts(scores.groupBy("query_id").agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("score", above).alias("cuts")
+    ), size)
+
+
+def shares() -> tuple[float, ...]:
+    """The shares of its candidates that the stretches of a query but the last one hold."""
+    return _SHARES
+
+
+def bounds_from_cuts(sketch: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``stretch_bounds`` from ``(query_id, n, cuts)``: how many candidates a query has, and down to which score
+    each of ``shares`` reaches."""
     long_enough = F.filter(
         F.arrays_zip(F.array(*[F.lit(share) for share in _SHARES]).alias("share"), "cuts"),
         lambda z: z["share"] * F.col("n") >= _MIN_WINDOWS * size,
@@ -176,23 +186,30 @@ def distinct_top(
     k: int = TOP_K,
     min_distance: float = MIN_TITLE_DISTANCE,
     size: int = WINDOW,
+    first: int | None = None,
+    bounds_of: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> DataFrame:
     """``(query_id, kept)`` for every query with a candidate.
 
     ``scores`` are ``(query_id, row_id, doc_id, score)`` and what ``with_titles`` needs to fetch the titles
-    of some rows; ``scores_of`` gives the scores of some queries, for the
-    rare further rounds; ``save`` writes a small table and reads it back.
+    of some rows; ``scores_of`` gives the scores of some queries, down to the bound of their stretch at least, for the
+    rare further rounds; ``save`` writes a small table and reads it back. ``first`` is the size of the first window
+    where it is another, ``bounds_of`` gives ``stretch_bounds`` where it is not taken from ``scores_of``.
     """
-    def cut(rows: DataFrame) -> DataFrame:
-        return top_ranked(rows, size, TIE_BREAK, in_parts=True)
+    def cut(rows: DataFrame, n: int = size) -> DataFrame:
+        return top_ranked(rows, n, TIE_BREAK, in_parts=True)
 
+    first = first or size
     full, seen_all = F.size("kept") >= k, F.col("seen") < size
-    first = save("kept_1", fold_window(with_titles(cut(scores)), None, k, min_distance))
-    closed = [first.where(full | seen_all).select("query_id", "kept")]
-    open_queries = first.where(~(full | seen_all))
+    state = save("kept_1", fold_window(with_titles(cut(scores, first)), None, k, min_distance))
+    closed = [state.where(full | (F.col("seen") < first)).select("query_id", "kept")]
+    open_queries = state.where(~(full | (F.col("seen") < first)))
     left_open = not open_queries.isEmpty()
     if left_open:
-        bounds = stretch_bounds(scores_of(open_queries), size)
+        if bounds_of:
+            bounds = bounds_of(open_queries, size)
+        else:
+            bounds = stretch_bounds(scores_of(open_queries), size)
         open_queries = save(
             "bounds", open_queries.join(bounds, "query_id").withColumn("stretch", F.lit(0))
         )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillrank.functions.text import STOPWORDS, TOKEN_PATTERN
-from quillrank.operators.blocks import best_in_blocks
+from quillrank.operators.blocks import Blocks
 from quillrank.operators.dedup import WINDOW, distinct_top, kept_rows
 from quillrank.operators.documents import document_matches
 from quillrank.operators.matching import query_postings
@@ -28,6 +28,9 @@ PLACE = ["mark", "mark_2"]
 # From so many queries on, they meet the documents in blocks.
 BLOCK_QUERIES = 64
 
+# There, rows of one title are folded before the walk, so that most queries find their results in so many rows a result.
+FIRST_TITLES = 4
+
 
 def match_table_rows(matches: DataFrame) -> DataFrame:
     """``document_matches`` reduced to what later steps read: every document keeps its length
@@ -170,17 +173,23 @@ def search(
         open_terms = terms.join(open_queries.select("query_id"), "query_id", "left_semi")
         return document_scores(matches, open_terms, ratio, keys)
 
-    many = parsed.limit(BLOCK_QUERIES).count() >= BLOCK_QUERIES
-    kept = distinct_top(
-        best_in_blocks(matches, terms, space.table, window, ratio, keys) if many
-        else document_scores(matches, terms, ratio, keys),
-        with_titles,
-        scores_of,
-        space.table,
-        k,
-        min_distance,
-        window,
-    )
+    if parsed.limit(BLOCK_QUERIES).count() >= BLOCK_QUERIES:
+        blocks = Blocks(matches, terms, space.table, ratio, keys, fold=min_distance > 0)
+        first = min(window, FIRST_TITLES * k)
+        kept = distinct_top(
+            blocks.best(first), with_titles, blocks.stretch, space.table, k, min_distance, window,
+            first=first, bounds_of=blocks.bounds,
+        )
+    else:
+        kept = distinct_top(
+            document_scores(matches, terms, ratio, keys),
+            with_titles,
+            scores_of,
+            space.table,
+            k,
+            min_distance,
+            window,
+        )
     named = kept_rows(kept).join(parsed.select("query_id", "original_query"), "query_id")
     return named.select(
         F.col("original_query").alias("query_id"),

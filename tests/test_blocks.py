@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from quillrank.operators.blocks import best_in_blocks
+from quillrank.functions.dph import dph_parts, dph_term_score, ratio_gain
+from quillrank.operators.blocks import Blocks, best_in_blocks
 from quillrank.operators.ranking import SCORE_DIGITS
 from quillrank.operators.scoring import document_scores
 from quillrank.plans import rank
@@ -69,3 +70,100 @@ def test_many_queries_rank_like_brute_force(spark):
     for options in ({}, {"cf_mode": "corpus", "ratio": "exact", "k": 3}):
         found = rank.rank_documents(queries_frame(spark, lines), articles_frame(spark, rows), **options)
         assert_same(as_lists(found), brute_force(spark, lines, rows, **options))
+
+
+def scored_tables(spark, n=400, n_queries=60):
+    rng = random.Random(4)
+    docs = [
+        (i, f"d{i:03}", rng.choice(["", "hot", f"t{i}"]), 20 + i % 89,
+         [(t, rng.randint(1, 6)) for t in rng.sample("abcdefgh", 5)])
+        for i in range(n)
+    ]
+    matches = spark.createDataFrame(
+        docs, "row_id long, doc_id string, title string, dl long, matches array<struct<term:string,tf:long>>"
+    )
+    terms = spark.createDataFrame(
+        [(q, t, 3, 20 + ord(t), n, 40.0) for q in range(n_queries) for t in rng.sample("abcdefgh", 3)],
+        "query_id long, term string, n_terms long, cf long, n_docs long, avgdl double",
+    )
+    return matches, terms
+
+
+def saver(spark, tmp_path):
+    def save(name, rows):
+        rows.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{tmp_path}/{name}")
+
+    return save
+
+
+def test_what_is_given_out_does_not_grow_with_the_blocks(spark, tmp_path):
+    """A task gives out a window of a query, not one for every block, and exchanges queries alone."""
+    matches, terms = scored_tables(spark)
+    best = best_in_blocks(
+        matches, terms, saver(spark, tmp_path), 3, "exact", ["row_id", "doc_id"], block_rows=20, part_queries=3
+    )
+    text = best._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "Exchange rangepartitioning(part" in text
+    assert best.rdd.getNumPartitions() <= 20 * 2   # 20 parts or so beside one partition of blocks
+    rows = best.groupBy("query_id").count().collect()
+    assert len(rows) == 60
+    assert max(r["count"] for r in rows) <= 2 * 3 + 2
+
+
+def test_folded_titles_stand_once(spark, tmp_path):
+    matches, terms = scored_tables(spark)
+    keys = ["row_id", "doc_id"]
+    blocks = Blocks(
+        matches, terms, saver(spark, tmp_path), "exact", keys, block_rows=150, part_queries=30, fold=True
+    )
+    every = document_scores(matches, terms, "exact", [*keys, "title"]).select(
+        "query_id", *keys, F.round("score", SCORE_DIGITS).alias("score"), "title"
+    ).collect()
+    first: dict = {}
+    for r in sorted(every, key=lambda r: (-r.score, r.doc_id, r.row_id)):
+        title = r.title or r.row_id
+        first.setdefault(r.query_id, {}).setdefault(title, r.row_id)
+    found: dict = {}
+    for r in blocks.best(5).collect():
+        found.setdefault(r.query_id, set()).add(r.row_id)
+    open_queries = terms.select("query_id").distinct().select(
+        "query_id", F.array(F.lit(float("-inf"))).alias("bounds"), F.lit(0).alias("stretch")
+    )
+    whole: dict = {}
+    for r in blocks.stretch(open_queries).collect():
+        whole.setdefault(r.query_id, set()).add(r.row_id)
+    for query, rows in first.items():
+        assert set(list(rows.values())[:5]) <= found[query]
+        assert set(rows.values()) <= whole[query]
+    assert max(map(len, found.values())) < 20
+    bounds = {r.query_id: r.bounds for r in blocks.bounds(open_queries, 5).collect()}
+    scores = sorted((r.score for r in every if r.query_id == 0), reverse=True)
+    assert bounds.keys() == first.keys() and all(b[-1] == float("-inf") for b in bounds.values())
+    assert len(bounds[0]) > 1 and scores[0] > bounds[0][0] > scores[len(scores) // 3]
+
+
+def test_parts_of_a_score_add_up(spark):
+    rows = spark.createDataFrame(
+        [(tf, dl, cf) for tf in (1, 2, 7) for dl in (7, 8, 500) for cf in (1, 30, 900)], "tf long, dl long, cf long"
+    )
+    avgdl, n_docs = F.lit(31.5), F.lit(800).cast("long")
+    slope, rest = dph_parts(F.col("tf"), F.col("dl"), avgdl)
+    for ratio in ("floor", "exact"):
+        whole = dph_term_score(F.col("tf"), F.col("cf"), F.col("dl"), avgdl, n_docs, ratio)
+        for r in rows.select(whole, slope * ratio_gain(n_docs, F.col("cf"), ratio) + rest).collect():
+            assert r[0] == r[1] or abs(r[0] - r[1]) < 1e-12
+
+
+def test_many_queries_go_on_below_the_first_window(spark):
+    """Near-copies at the top of most queries, so that most walks go on in later rounds."""
+    rows, lines = collection()
+    words = rows[3][1].split()[0]
+    rows += [article(f"g{i:03}", f"{words} title of near copies {i:03}", words, "t " * (i % 9)) for i in range(150)]
+    lines += [words, f"{words} copies"]
+    for options in ({"k": 3, "window": 2}, {"cf_mode": "corpus", "ratio": "exact", "k": 4, "window": 3}):
+        window = options.pop("window")
+        found = rank.rank_documents(
+            queries_frame(spark, lines), articles_frame(spark, rows), window=window, **options
+        )
+        assert_same(as_lists(found), brute_force(spark, lines, rows, **options))
