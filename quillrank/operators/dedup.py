@@ -24,7 +24,9 @@ from quillrank.functions.titles import (
     LONG_TITLE,
     lengths_allow,
     most_edits,
+    near_any,
     near_title,
+    walked,
     within_edits,
 )
 from quillrank.operators.ranking import PARTS, SCORE_DIGITS, part_of, top_ranked
@@ -57,14 +59,20 @@ def _close_to_any(kept: Column, title: Column, min_distance: float) -> Column:
     return equal | F.exists(kept, lambda d: near_title(d["title"], title, min_distance))
 
 
+def _titles(items: Column) -> Column:
+    return F.transform(items, lambda item: item["title"])
+
+
 def fold_window(
     window: DataFrame,
     kept: DataFrame | None = None,
     k: int = TOP_K,
     min_distance: float = MIN_TITLE_DISTANCE,
+    many: bool = False,
 ) -> DataFrame:
     """``(query_id, kept, seen)`` from ranked rows ``(query_id, rank, row_id, doc_id, score,
-    title)``, a bounded number per query (``seen``), continuing from ``kept`` where given."""
+    title)``, a bounded number per query (``seen``), continuing from ``kept`` where given. The walks of
+    ``many`` queries go side by side in numpy, with the same answer."""
     item = F.struct("row_id", "doc_id", "score", "title").cast(ITEM)
     # Few bytes but much work per query: the fixed number keeps adaptive execution from
     # folding all queries in one task because their rows are small.
@@ -83,6 +91,13 @@ def fold_window(
             ranked, "query_id", "left"
         )
     ranked_rows = F.coalesce(F.col("ranked"), none_yet)
+    if many and min_distance > 0:
+        chosen = walked(_titles(ranked_rows), _titles(F.col("before")), k, min_distance)
+        return state.withColumn("chosen", chosen).select(
+            "query_id",
+            F.concat("before", F.transform("chosen", lambda i: F.get(ranked_rows, i))).alias("kept"),
+            F.size(ranked_rows).alias("seen"),
+        )
     return state.select(
         "query_id",
         _walk(ranked_rows, F.col("before"), k, min_distance).alias("kept"),
@@ -152,6 +167,7 @@ def survivors(
     open_queries: DataFrame,
     with_titles: Callable[[DataFrame], DataFrame],
     min_distance: float = MIN_TITLE_DISTANCE,
+    many: bool = False,
 ) -> DataFrame:
     """The scored rows of open queries, down to the bound of their stretch, that nothing kept
     so far rules out, with their titles. Rows of earlier windows were kept, or are close to a kept
@@ -171,10 +187,12 @@ def survivors(
         .where(F.round("score", SCORE_DIGITS) >= F.round("bound", SCORE_DIGITS))
         .drop("bound")
     )
-    out = F.exists("kept", lambda d: d["row_id"] == F.col("row_id")) | _close_to_any(
-        F.col("kept"), F.col("title"), min_distance
-    )
     titled = with_titles(stretch).join(state.drop("bound"), ["query_id", "part"])
+    stands = F.exists("kept", lambda d: d["row_id"] == F.col("row_id"))
+    if many and min_distance > 0:
+        near = near_any(F.col("title"), _titles(F.col("kept")), min_distance)
+        return titled.where(~stands).withColumn("near", near).where(~F.col("near")).drop("kept", "part", "near")
+    out = stands | _close_to_any(F.col("kept"), F.col("title"), min_distance)
     return titled.where(~out).drop("kept", "part")
 
 
@@ -188,20 +206,23 @@ def distinct_top(
     size: int = WINDOW,
     first: int | None = None,
     bounds_of: Callable[[DataFrame, int], DataFrame] | None = None,
+    many: bool = False,
 ) -> DataFrame:
     """``(query_id, kept)`` for every query with a candidate.
 
     ``scores`` are ``(query_id, row_id, doc_id, score)`` and what ``with_titles`` needs to fetch the titles
     of some rows; ``scores_of`` gives the scores of some queries, down to the bound of their stretch at least, for the
     rare further rounds; ``save`` writes a small table and reads it back. ``first`` is the size of the first window
-    where it is another, ``bounds_of`` gives ``stretch_bounds`` where it is not taken from ``scores_of``.
+    where it is another, ``bounds_of`` gives ``stretch_bounds`` where it is not taken from ``scores_of``; ``many`` as in ``fold_window``.
     """
     def cut(rows: DataFrame, n: int = size) -> DataFrame:
         return top_ranked(rows, n, TIE_BREAK, in_parts=True)
 
     first = first or size
     full, seen_all = F.size("kept") >= k, F.col("seen") < size
-    state = save("kept_1", fold_window(with_titles(cut(scores, first)), None, k, min_distance))
+    state = save("kept_1", fold_window(
+        with_titles(cut(scores, first)), None, k, min_distance, many
+    ))
     closed = [state.where(full | (F.col("seen") < first)).select("query_id", "kept")]
     open_queries = state.where(~(full | (F.col("seen") < first)))
     left_open = not open_queries.isEmpty()
@@ -216,8 +237,8 @@ def distinct_top(
     round_no = 1
     while left_open:
         round_no += 1
-        left = survivors(scores_of(open_queries), open_queries, with_titles, min_distance)
-        folded = fold_window(cut(left), open_queries, k, min_distance)
+        left = survivors(scores_of(open_queries), open_queries, with_titles, min_distance, many)
+        folded = fold_window(cut(left), open_queries, k, min_distance, many)
         places = open_queries.select("query_id", "bounds", "stretch")
         # A stretch that gave less than a full window is used up.
         state = folded.join(places, "query_id").withColumn(

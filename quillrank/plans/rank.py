@@ -178,7 +178,7 @@ def search(
         first = min(window, FIRST_TITLES * k)
         kept = distinct_top(
             blocks.best(first), with_titles, blocks.stretch, space.table, k, min_distance, window,
-            first=first, bounds_of=blocks.bounds,
+            first=first, bounds_of=blocks.bounds, many=True,
         )
     else:
         kept = distinct_top(

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quillrank.functions.titles import LONG_TITLE, edits_within
+from quillrank.functions.titles import LONG_TITLE, edits_within, near_any, near_pairs, walked
 from quillrank.operators.dedup import distinct_top, kept_rows, ruled_out
 
 from helpers import edit_distance, greedy, near
@@ -154,3 +154,34 @@ def test_one_query_is_ruled_out_in_many_tasks(spark):
     )
     sizes = ruled_out(candidates, kept).groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) > 10 and sum(r["count"] for r in sizes) == 2999
+
+
+def test_titles_side_by_side_have_the_same_answer(spark):
+    """Around the ends of 64-bit numbers, in pairs of every kind, and the walks of many queries."""
+    rng = random.Random(8)
+    titles = [""]
+    for size in (1, 2, 40, 63, 64, 65, 127, 128, 129, 300):
+        a = "".join(rng.choice("abcdé 漢") for _ in range(size))
+        titles += [a, *(
+            "".join(c if rng.random() > share else rng.choice(["", "x", c + "y"]) for c in a)
+            for share in (0.2, 0.5, 0.6)
+        )]
+    titles += ["z" * 1100, "z" * 1000 + "q" * 300]
+    pairs = [(a, b) for i, a in enumerate(titles) for b in titles[max(0, i - 5):i + 6]]
+    for least in (0.5, 1.0):
+        assert near_pairs(pairs, least).tolist() == [near(a, b, least) for a, b in pairs]
+    ranked = [[rng.choice(titles) for _ in range(rng.randint(0, 12))] for _ in range(40)]
+    kept = [[rng.choice(titles)] if i % 3 == 0 else [] for i in range(40)]
+    frame = spark.createDataFrame(list(zip(range(40), ranked, kept)), "q int, ranked array<string>, kept array<string>")
+    found = {r.q: r.places for r in frame.select("q", walked(F.col("ranked"), F.col("kept"), 3).alias("places")).collect()}
+    for q, (items, before) in enumerate(zip(ranked, kept)):
+        stay, places = list(before), []
+        for place, title in enumerate(items):
+            if len(stay) < 3 and not any(near(title, other) for other in stay):
+                stay.append(title)
+                places.append(place)
+        assert found[q] == places
+    rows = frame.select("q", F.explode("ranked").alias("title"), "kept")
+    out = rows.select("title", "kept", near_any(F.col("title"), F.col("kept")).alias("near")).collect()
+    assert [r.near for r in out] == [any(near(r.title, other) for other in r.kept) for r in out]
+    assert any(r.near for r in out)
