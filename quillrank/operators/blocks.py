@@ -140,29 +140,32 @@ class _Cell:
         self.place = place.astype(np.intp)
         self.scores = slope[code] * np.repeat(gain, np.diff(starts)) + rest[code]
         self.starts, self.firsts, self.numbers = starts.tolist(), firsts.tolist(), at[numbers].tolist()
-        self.total, self.hit = np.zeros(len(columns[0])), np.zeros(len(columns[0]), bool)
+        self.hit = np.zeros(len(columns[0]), bool)
         lengths = np.diff(starts)
         often = np.argsort(-lengths, kind="stable")[:_DENSE_TERMS]
-        self.dense = dict.fromkeys(often[16 * lengths[often] > len(self.total)].tolist())
+        self.dense = dict.fromkeys(often[16 * lengths[often] > len(self.hit)].tolist())
 
     def _terms(self, q: int) -> list[int]:
         return [t for t in self.numbers[self.firsts[q]:self.firsts[q + 1]] if t >= 0]
 
     def sums(self, q: int) -> np.ndarray | None:
-        """Of all documents, 0 for those without a term; overwritten by the next call."""
-        terms, total = self._terms(q), self.total
+        """Of all documents, 0 for those without a term."""
+        terms = self._terms(q)
         if not terms:
             return None
-        total.fill(0.0)
+        spans = [slice(self.starts[t], self.starts[t + 1]) for t in terms if t not in self.dense]
+        if spans:
+            places, scores = (np.concatenate([column[some] for some in spans]) for column in (self.place, self.scores))
+            total = np.bincount(places, scores, len(self.hit))
+        else:
+            total = np.zeros(len(self.hit))
         for t in terms:
-            some = slice(self.starts[t], self.starts[t + 1])
             if t in self.dense:
                 if self.dense[t] is None:
+                    some = slice(self.starts[t], self.starts[t + 1])
                     self.dense[t] = np.zeros(len(total))
                     self.dense[t][self.place[some]] = self.scores[some]
                 total += self.dense[t]
-            else:
-                total[self.place[some]] += self.scores[some]
         return total
 
     def matched(self, q: int) -> np.ndarray:
