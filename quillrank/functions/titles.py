@@ -127,8 +127,9 @@ def _edits(codes: np.ndarray, a: tuple, b: tuple, words: int) -> np.ndarray:
     (a_at, a_len), (b_at, b_len) = a, b
     one, top = np.uint64(1), np.uint64(63)
     size = 64 * words
-    letters = np.minimum(a_at[:, None] + np.arange(size), len(codes) - 1)
-    pattern = np.where(np.arange(size) < a_len[:, None], codes[letters], 0).astype(codes.dtype)
+    pattern = np.zeros((len(a_len), size), codes.dtype)
+    for i, (at, length) in enumerate(zip(a_at.tolist(), a_len.tolist())):
+        pattern[i, :length] = codes[at:at + length]
     up = [np.full(len(a_len), ~np.uint64(0)) for _ in range(words)]
     down = [np.zeros(len(a_len), np.uint64) for _ in range(words)]
     distance = a_len.astype(np.int64)

@@ -30,6 +30,7 @@ from quillrank.operators.dedup import bounds_from_cuts, shares
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 1 << 14      # documents of a block
+_BLOCK_BYTES = 40 << 20   # and their terms and numbers, before they are packed
 PART_QUERIES = 1 << 14    # queries of a part, at most
 _FEW_QUERIES = 1 << 8     # a part has no fewer, where that leaves enough tasks
 _TASKS_PER_CORE = 4
@@ -47,51 +48,60 @@ def _told(packed: pa.Scalar):
     return pickle.loads(zstandard.decompress(packed.as_py()))
 
 
-def _pieces(tables: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
-    """The rows of a task in pieces of about ``rows``, none of them much smaller than the others."""
+def _pieces(batches: Iterator[pa.RecordBatch], most_rows: int, most_bytes: int) -> Iterator[pa.Table]:
+    """The rows of a task in pieces of so many rows and bytes at most, about."""
     waiting: list[pa.RecordBatch] = []
-    for batch in tables:
-        waiting.append(batch)
-        if sum(b.num_rows for b in waiting) >= 2 * rows:
-            table = pa.Table.from_batches(waiting)
-            while table.num_rows >= 2 * rows:
-                yield table.slice(0, rows)
-                table = table.slice(rows)
-            waiting = table.to_batches()
-    if left := sum(b.num_rows for b in waiting):
-        table = pa.Table.from_batches(waiting)
-        size = left if 4 * left <= 5 * rows else -(-left // 2)
-        yield from (table.slice(at, size) for at in range(0, left, size))
+    rows = size = 0
+    for batch in batches:
+        step = max(1, min(most_rows // 4, batch.num_rows * most_bytes // (4 * max(1, batch.nbytes))))
+        for at in range(0, batch.num_rows, step):
+            waiting.append(batch.slice(at, step))
+            rows, size = rows + waiting[-1].num_rows, size + waiting[-1].nbytes
+            if 4 * rows >= 5 * most_rows or size >= most_bytes:
+                yield pa.Table.from_batches(waiting)
+                waiting.clear()
+                rows = size = 0
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _coded(slope: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different pairs of two columns, and for each row the number of its pair."""
+    slopes, first, code = np.unique(slope, return_index=True, return_inverse=True)
+    rests = rest[first]
+    if not np.array_equal(rests[code], rest):   # two pairs with one slope
+        pairs, code = np.unique(slope + 1j * rest, return_inverse=True)
+        slopes, rests = pairs.real.copy(), pairs.imag.copy()
+    return slopes, rests, code.astype(np.uint16 if len(slopes) < 1 << 16 else np.uint32)
 
 
 def _pack_documents(keys: Sequence[str], block_rows: int):
     """Blocks whose documents stand in the order of ``doc_id`` and ``row_id``, which breaks ties."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for n, rows in enumerate(_pieces(batches, block_rows)):
+        for n, rows in enumerate(_pieces(batches, block_rows, _BLOCK_BYTES)):
             block = rows["block"][0].as_py() << 20 | n
+            held = rows["held"].combine_chunks()
+            counts = np.diff(held.offsets.to_numpy())
+            held, rows = held.flatten(), rows.drop_columns(["held"])
             order = pc.sort_indices(
                 rows, [("doc_id", "ascending"), ("row_id", "ascending")], null_placement="at_start"
             )
             rows = rows.take(order).combine_chunks()
-            held = rows["held"].combine_chunks()
-            counts = np.diff(held.offsets.to_numpy())
-            held = held.flatten()
+            at = np.empty(len(counts), np.uint32)
+            at[order.to_numpy()] = np.arange(len(counts), dtype=np.uint32)
             terms = held.field("term").dictionary_encode()
             numbers = terms.indices.to_numpy()
-            place = np.repeat(np.arange(rows.num_rows, dtype=np.uint32), counts)
-            by_term = np.argsort(numbers, kind="stable")
-            parts, code = np.unique(
-                held.field("slope").to_numpy() + 1j * held.field("rest").to_numpy(), return_inverse=True
-            )
             starts = np.concatenate([[0], np.cumsum(np.bincount(numbers, minlength=len(terms.dictionary)))])
+            by_term = np.argsort(numbers, kind="stable").astype(np.uint32)
+            place = np.repeat(at, counts)[by_term]
+            slopes, rests, code = _coded(held.field("slope").to_numpy(), held.field("rest").to_numpy())
+            del held, numbers
             yield pa.RecordBatch.from_arrays([
                 pa.array([block], pa.int64()),
                 _bytes((
                     [rows[name].combine_chunks() for name in keys], rows["title_code"].to_numpy(),
-                    terms.dictionary, starts, place[by_term],
-                    code[by_term].astype(np.uint16 if len(parts) < 1 << 16 else np.uint32),
-                    parts.real.copy(), parts.imag.copy(),
+                    terms.dictionary, starts, place, code[by_term], slopes, rests,
                 )),
             ], ["block", "documents"])
 

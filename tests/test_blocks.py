@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quillrank.functions.dph import dph_parts, dph_term_score, ratio_gain
-from quillrank.operators.blocks import Blocks, best_in_blocks
+from quillrank.operators.blocks import Blocks, _coded, _pieces, best_in_blocks
 from quillrank.operators.ranking import SCORE_DIGITS
 from quillrank.operators.scoring import document_scores
 from quillrank.plans import rank
@@ -167,3 +169,17 @@ def test_many_queries_go_on_below_the_first_window(spark):
             queries_frame(spark, lines), articles_frame(spark, rows), window=window, **options
         )
         assert_same(as_lists(found), brute_force(spark, lines, rows, **options))
+
+
+def test_pieces_hold_all_rows_and_few_bytes():
+    batch = pa.RecordBatch.from_pydict({"n": list(range(1000)), "text": ["x" * 100] * 1000})
+    for rows, size in ((100, 1 << 20), (10_000, 5_000), (1, 1)):
+        pieces = list(_pieces(iter([batch, batch.slice(0, 0), batch]), rows, size))
+        assert [n for piece in pieces for n in piece["n"].to_pylist()] == [*range(1000)] * 2
+        assert all(4 * p.num_rows <= 6 * rows + 4 and p.nbytes <= 2 * size + 300 for p in pieces)
+
+
+def test_pairs_with_one_slope_are_told_apart():
+    slope, rest = np.array([1.0, 2.0, 1.0, 1.0]), np.array([5.0, 5.0, 6.0, 5.0])
+    slopes, rests, code = _coded(slope, rest)
+    assert slopes[code].tolist() == slope.tolist() and rests[code].tolist() == rest.tolist()
