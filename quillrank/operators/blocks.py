@@ -11,6 +11,7 @@ from their files by each task that needs them and are not exchanged.
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import sys
 from collections.abc import Callable, Iterator, Sequence
@@ -30,7 +31,7 @@ from quillrank.operators.dedup import bounds_from_cuts, shares
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_ROWS = 1 << 14      # documents of a block
-_BLOCK_BYTES = 40 << 20   # and their terms and numbers, before they are packed
+_BLOCK_BYTES = 24 << 20   # and their terms and numbers, before they are packed
 PART_QUERIES = 1 << 14    # queries of a part, at most
 _FEW_QUERIES = 1 << 8     # a part has no fewer, where that leaves enough tasks
 _TASKS_PER_CORE = 4
@@ -44,6 +45,14 @@ def _bytes(told: object) -> pa.Array:
     return pa.array([zstandard.compress(pickle.dumps(told, protocol=5))], pa.binary())
 
 
+def _give_back() -> None:
+    """Freed memory goes back to the system: a Python worker lives on when its task has ended."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc has it
+    if trim:
+        trim(0)
+
+
 def _told(packed: pa.Scalar):
     return pickle.loads(zstandard.decompress(packed.as_py()))
 
@@ -97,6 +106,7 @@ def _pack_documents(keys: Sequence[str], block_rows: int):
             place = np.repeat(at, counts)[by_term]
             slopes, rests, code = _coded(held.field("slope").to_numpy(), held.field("rest").to_numpy())
             del held, numbers
+            _give_back()
             yield pa.RecordBatch.from_arrays([
                 pa.array([block], pa.int64()),
                 _bytes((
@@ -377,6 +387,8 @@ def _best_of_cells(keys: Sequence[str], n: int, fold: bool):
         if blocks:
             held.leaves(len(blocks) - 1)
             yield from held.rows_out(list(keys))
+        del held, blocks
+        _give_back()
 
     return best
 
